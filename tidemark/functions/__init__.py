@@ -4,6 +4,7 @@ from tidemark.functions.scalar import (
     TRACE_COLUMNS,
     amount,
     average,
+    bucket_start,
     cents,
     declared_field,
     digits_modulo,
@@ -21,6 +22,7 @@ __all__ = [
     "TRACE_COLUMNS",
     "amount",
     "average",
+    "bucket_start",
     "cents",
     "declared_field",
     "digits_modulo",

@@ -53,6 +53,12 @@ def ms_to_ntz(ms: Column | str) -> Column:
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
+def bucket_start(ts: Column | str, seconds: int) -> Column:
+    """Start of the fixed-width bucket a zone-less timestamp falls into."""
+    ms = epoch_ms(ts)
+    return ms_to_ntz(ms - F.pmod(ms, F.lit(seconds * 1000).cast("bigint")))
+
+
 def epoch_text_to_ms(text: Column | str) -> Column:
     """``1759687600000`` and ``1.7596876e12`` both become the same bigint.
 

@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import bucket_start
 from tidemark.operators.merge import union_by_name
 
 LAYERS = ("bronze", "silver", "gold")
+GRAIN_SECONDS = {"HOUR": 3_600, "DAY": 86_400}
 
 
 def _layer(model: Column) -> Column:
@@ -84,8 +86,11 @@ def usage_rollup(
 ) -> DataFrame:
     """Usage per time bucket and label, optionally from an instant on."""
     recent = usage if since is None else usage.filter(F.col(ts) >= since)
-    period = F.date_trunc(grain, ts).cast(dict(usage.dtypes)[ts]).alias("period")
-    return recent.groupBy(period, *by).agg(
+    if dict(usage.dtypes)[ts] == "timestamp_ntz":
+        period = bucket_start(ts, GRAIN_SECONDS[grain])
+    else:
+        period = F.date_trunc(grain, ts)
+    return recent.groupBy(period.alias("period"), *by).agg(
         *[measure.alias(name) for name, measure in measures.items()],
         F.min(ts).alias("first_seen"),
         F.max(ts).alias("last_seen"),

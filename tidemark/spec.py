@@ -19,11 +19,30 @@ from tidemark.functions import epoch_text_to_ms, identifier, ms_to_ntz
 CONTROL_COLUMNS = ("op", "source_ts_ms", "kafka_offset", "kafka_partition", "kafka_created_at")
 
 #: The same columns as they arrive in a landing table.
-LANDING_CONTROL_DDL = (
-    "__OP string, __SOURCE_TS_MS bigint, "
-    "RECORD_METADATA struct<offset:bigint,partition:int,CreateTime:bigint>"
+LANDING_CONTROL = (
+    T.StructField("__OP", T.StringType()),
+    T.StructField("__SOURCE_TS_MS", T.LongType()),
+    T.StructField(
+        "RECORD_METADATA",
+        T.StructType(
+            [
+                T.StructField("offset", T.LongType()),
+                T.StructField("partition", T.IntegerType()),
+                T.StructField("CreateTime", T.LongType()),
+            ]
+        ),
+    ),
 )
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
 STRATEGIES = ("upsert", "append", "log")
 
 
@@ -56,15 +75,14 @@ class DomainSpec:
 
     @property
     def source_schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
+        columns = [column.split() for column in self.ddl.split(", ")]
+        return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
 
     @property
     def landing_schema(self) -> T.StructType:
         """Upper-case typed columns plus the control columns of the landing form."""
-        columns = T.StructType(
-            [T.StructField(identifier(f.name), f.dataType) for f in self.source_schema]
-        )
-        return T.StructType(columns.fields + T.StructType.fromDDL(LANDING_CONTROL_DDL).fields)
+        columns = [T.StructField(identifier(f.name), f.dataType) for f in self.source_schema]
+        return T.StructType([*columns, *LANDING_CONTROL])
 
     @property
     def contract(self) -> Contract:

@@ -17,9 +17,10 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import bucket_start
 from tidemark.spec import DOMAINS
 
 EPOCH_MS = {
@@ -352,9 +353,7 @@ def topic_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The running total works on at most 1,440 rows per topic and day.
     """
-    from pyspark.sql import Window
-
-    minute = F.date_trunc("MINUTE", "ts").cast("timestamp_ntz")
+    minute = bucket_start("ts", 60)
     per_minute = (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("topic"), minute.alias("sampled_at"))
