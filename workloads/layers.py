@@ -305,9 +305,14 @@ ORACLES["merge_upsert_late"] = _LATEST_USER
 
 
 def merge_insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed customers into a target holding only those that ever ordered."""
+    """Seed customers into a target holding only the frequent ones."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    ordered = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    ordered = (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n >= 10")
+    )
     target = customers.join(ordered, "c_custkey", "left_semi").withColumn(
         "c_mktsegment", F.lit("kept")
     )
@@ -317,7 +322,7 @@ def merge_insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["merge_insert_missing"] = merge_insert_missing
 ORACLES["merge_insert_missing"] = """
 SELECT c_custkey, c_name,
-  CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'kept' ELSE c_mktsegment END
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) >= 10) THEN 'kept' ELSE c_mktsegment END
     AS c_mktsegment
 FROM customer"""
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workloads import layers, reports
+from workloads import governance, layers, reports
 
-_MODULES = (layers, reports)
+_MODULES = (layers, reports, governance)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
