@@ -81,7 +81,7 @@ EVENTS_DDL = (
 
 def scan_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed scan of a feed; pruned to the columns in use."""
-    rows = read_changes(spark, f"{sf_dir}/events.parquet", EVENTS_DDL)
+    rows = read_changes(spark, sf_dir, EVENTS_DDL, name_filter="events.parquet")
     return rows.select("event_id", "user_id", "event_type", epoch_ms("ts").alias("arrived_ms"))
 
 
@@ -227,6 +227,11 @@ SELECT DISTINCT h.* FROM h JOIN (
 
 # -------------------------------------------------------------- Silver by user
 def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user feed as a batch."""
+    return user_changes(table(spark, sf_dir, "events"))
+
+
+def user_changes(events: DataFrame) -> DataFrame:
     """Events as a change feed per user with a day-wide clock, hence many ties.
 
     Every 101st row is a tombstone, ``op`` is missing on every 97th, errors delete.
@@ -235,7 +240,7 @@ def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = F.when(F.col("event_id") % 97 != 0, F.when(F.col("event_type") == "error", "d")
                 .when(F.col("event_type") == "signup", "c")
                 .when(F.col("event_type") == "view", "r").otherwise("u"))
-    rows = table(spark, sf_dir, "events").withColumns({"dead": dead, "_op": op})
+    rows = events.withColumns({"dead": dead, "_op": op})
     gone = F.col("dead") | F.col("_op").eqNullSafe("d")
     days = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint")
     return rows.select(
