@@ -48,9 +48,8 @@ def epoch_ms(ts: Column | str) -> Column:
 
 def ms_to_ntz(ms: Column | str) -> Column:
     """Zone-less timestamp of epoch milliseconds."""
-    seconds = (_col(ms).cast("decimal(18,3)") / F.lit(1000)).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return epoch + _col(ms).cast("bigint") * F.expr("INTERVAL '0.001' SECOND")
 
 
 def bucket_start(ts: Column | str, seconds: int) -> Column:

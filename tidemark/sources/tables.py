@@ -21,13 +21,16 @@ import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import TRACE_COLUMNS
 from tidemark.operators.bronze import dedup_latest
-from tidemark.operators.merge import merge_upsert, remove_keys, sync_columns
+from tidemark.operators.merge import remove_keys, sync_columns
+
+#: A bucket number is a position in one bitmap aggregate.
+MAX_BUCKETS = 32_768
 
 _LOG = "version long, bucket int, filled boolean, reset boolean, schema string"
 
@@ -47,6 +50,8 @@ class Snapshot:
         buckets: int = 64,
         files_per_bucket: int = 1,
     ) -> None:
+        if not 0 < buckets <= MAX_BUCKETS:
+            raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
@@ -54,50 +59,47 @@ class Snapshot:
         self.files_per_bucket = files_per_bucket
 
     # ---------------------------------------------------------------- reading
-    def _commits(self) -> list:
-        """Newest committed version per bucket since the last full replacement."""
+    def _commits(self) -> list[Row]:
+        """Newest committed state per bucket since the last full replacement."""
+        newest = F.max_by(F.struct("version", "filled", "schema"), "version")
+        replaced = F.max(F.when(F.col("reset"), F.col("version")))
         try:
-            log = self.spark.read.schema(_LOG).json(f"{self.path}/log")
+            buckets = (
+                self.spark.read.schema(_LOG)
+                .json(f"{self.path}/log")
+                .groupBy("bucket")
+                .agg(newest.alias("state"), replaced.alias("replaced"))
+                .select("bucket", "state.*", "replaced")
+                .collect()
+            )
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
-        started = F.coalesce(
-            log.filter("reset").agg(F.max("version")).scalar(), F.lit(0).cast("bigint")
-        )
-        return (
-            log.filter(F.col("version") >= started)
-            .groupBy("bucket")
-            .agg(
-                F.max("version").alias("version"),
-                F.max_by("filled", "version").alias("filled"),
-                F.max_by("schema", "version").alias("schema"),
-            )
-            .collect()
-        )
+        start = max(row["replaced"] or 0 for row in buckets)
+        return [row for row in buckets if row["version"] >= start]
 
     def exists(self) -> bool:
         return bool(self._commits())
 
     def version(self) -> int:
         """Number of the newest commit; 0 for a table never written."""
-        return max((row["version"] for row in self._commits()), default=0)
+        return _newest(self._commits())
 
     def read(self) -> DataFrame:
         """The whole table as of the newest commit."""
         commits = self._commits()
         if not commits:
             raise FileNotFoundError(f"no committed version at {self.path}")
-        return self._load(commits, self._newest_schema(commits))
+        return self._load(commits, commits)
 
-    def _newest_schema(self, commits: list) -> T.StructType:
+    def _load(self, commits: list[Row], wanted: list[Row]) -> DataFrame:
+        """The wanted buckets in the newest schema: new columns NULL, vanished ones gone."""
         newest = max(commits, key=lambda row: row["version"])
-        return T.StructType.fromJson(json.loads(newest["schema"]))
-
-    def _load(self, commits: list, schema: T.StructType) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(newest["schema"]))
         places = [
             f"{self.path}/data/version={row['version']}/bucket={row['bucket']}"
-            for row in commits
+            for row in wanted
             if row["filled"]
         ]
         if not places:
@@ -108,56 +110,79 @@ class Snapshot:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _write(self, df: DataFrame, version: int, touched: Sequence[int] | None) -> None:
-        """Write ``df`` as ``version`` and commit it; ``touched=None`` replaces the table."""
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
-        part = F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.files_per_bucket))
-        place = f"{self.path}/data/version={version}"
-        count = len(touched) if touched is not None else self.buckets
+    def _spread(self, df: DataFrame, buckets: int) -> DataFrame:
+        """Bring the rows of a bucket together, in ``files_per_bucket`` parts."""
+        part = F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.files_per_bucket)).cast("int")
+        placed = df.withColumns({"bucket": self._bucket(), "_part": part})
+        return placed.repartition(max(1, buckets * self.files_per_bucket), "bucket", "_part")
+
+    def _write(self, placed: DataFrame, version: int, touched: Sequence[int] | None) -> None:
+        """Write rows that carry their ``bucket`` and commit them as ``version``.
+
+        ``touched=None`` replaces the table.  Which buckets received rows is observed
+        while writing, so the commit needs no second look at the data.
+        """
+        rows = placed.drop("_part")
+        schema = T.StructType(
+            [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != "bucket"]
+        )
+        seen = Observation()
         (
-            df.withColumn("bucket", self._bucket())
-            .repartition(max(1, count * self.files_per_bucket), "bucket", part)
+            rows.observe(seen, F.bitmap_construct_agg(F.col("bucket").cast("bigint")).alias("filled"))
             .write.partitionBy("bucket")
             .mode("overwrite")
-            .parquet(place)
+            .parquet(f"{self.path}/data/version={version}")
         )
-        try:
-            written = self.spark.read.parquet(place).select("bucket").distinct().collect()
-            filled = {row["bucket"] for row in written}
-        except AnalysisException:
-            filled = set()
+        filled = _bits(seen.get["filled"])
         # bucket -1 stands for the commit itself, so that an empty table exists too
-        rows = [
+        lines = [
             (version, bucket, bucket in filled, touched is None, schema.json())
             for bucket in sorted(filled | set(touched or ()) | {-1})
         ]
-        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").json(
-            f"{self.path}/log"
-        )
+        commit = self.spark.createDataFrame(lines, _LOG).coalesce(1)
+        commit.write.mode("append").json(f"{self.path}/log")
 
-    def overwrite(self, df: DataFrame) -> None:
-        """Replace the whole table."""
-        self._write(df, self.version() + 1, None)
+    def overwrite(self, df: DataFrame, clustered: bool = False) -> None:
+        """Replace the whole table.
 
-    def merge(self, updates: DataFrame, order: Sequence[str] = TRACE_COLUMNS) -> int:
+        ``clustered`` promises that ``df`` reads a table with the same key and number
+        of buckets, whose rows already lie together: they are written without a shuffle.
+        """
+        placed = df.withColumn("bucket", self._bucket()) if clustered else self._spread(df, self.buckets)
+        self._write(placed, self.version() + 1, None)
+
+    def merge(
+        self,
+        updates: DataFrame,
+        order: Sequence[str] = TRACE_COLUMNS,
+        unique: bool = False,
+    ) -> int:
         """Insert new keys, replace older versions; returns the number of buckets written.
 
-        Columns follow ``updates``.  Applying the same batch again changes nothing, so
-        a stream may replay it after a failure.
+        Columns follow ``updates``.  The batch is reduced to one row per key first,
+        unless ``unique`` says that it already is; stored and incoming rows of a bucket
+        then meet in a single shuffle.  Applying the same batch again changes nothing,
+        so a stream may replay it after a failure.  With an empty ``order`` incoming
+        rows always win; they must be unique.
         """
-        batch = dedup_latest(updates, self.key, order) if order else updates
+        batch = updates if unique or not order else dedup_latest(updates, self.key, order)
         commits = self._commits()
         if not commits:
-            self._write(batch, 1, None)
+            self._write(self._spread(batch, self.buckets), 1, None)
             return self.buckets
         touched = self._touched(updates)
         if touched:
-            current = self._load_touched(commits, touched)
-            self._write(
-                merge_upsert(current, batch, self.key, order),
-                max(row["version"] for row in commits) + 1,
-                touched,
+            both = (
+                sync_columns(self._load_touched(commits, touched), batch)
+                .withColumn("_incoming", F.lit(0))
+                .unionByName(batch.withColumn("_incoming", F.lit(1)))
             )
+            merged = dedup_latest(
+                self._spread(both, len(touched)),
+                ["bucket", "_part", self.key],
+                [*order, "_incoming"],
+            )
+            self._write(merged.drop("_incoming"), _newest(commits) + 1, touched)
         return len(touched)
 
     def insert_missing(self, source: DataFrame) -> int:
@@ -165,18 +190,15 @@ class Snapshot:
         commits = self._commits()
         absent = source.dropDuplicates([self.key])
         if not commits:
-            self._write(absent, 1, None)
+            self._write(self._spread(absent, self.buckets), 1, None)
             return self.buckets
-        known = self._load(commits, self._newest_schema(commits)).select(self.key)
+        known = self._load(commits, commits).select(self.key)
         absent = absent.join(known, self.key, "left_anti")
         touched = self._touched(absent)
         if touched:
             current = sync_columns(self._load_touched(commits, touched), absent)
-            self._write(
-                current.unionByName(absent),
-                max(row["version"] for row in commits) + 1,
-                touched,
-            )
+            grown = self._spread(current.unionByName(absent), len(touched))
+            self._write(grown, _newest(commits) + 1, touched)
         return len(touched)
 
     def remove(self, keys: DataFrame) -> int:
@@ -184,23 +206,32 @@ class Snapshot:
         commits = self._commits()
         touched = self._touched(keys) if commits else []
         if touched:
-            current = self._load_touched(commits, touched)
-            self._write(
-                remove_keys(current, keys, self.key),
-                max(row["version"] for row in commits) + 1,
-                touched,
-            )
+            left = remove_keys(self._load_touched(commits, touched), keys, self.key)
+            self._write(self._spread(left, len(touched)), _newest(commits) + 1, touched)
         return len(touched)
 
     def _touched(self, rows: DataFrame) -> list[int]:
         found = rows.select(self._bucket().alias("bucket")).distinct().collect()
         return sorted(row["bucket"] for row in found)
 
-    def _load_touched(self, commits: list, touched: Sequence[int]) -> DataFrame:
+    def _load_touched(self, commits: list[Row], touched: Sequence[int]) -> DataFrame:
         wanted = set(touched)
-        return self._load(
-            [row for row in commits if row["bucket"] in wanted], self._newest_schema(commits)
-        )
+        return self._load(commits, [row for row in commits if row["bucket"] in wanted])
+
+
+def _newest(commits: list[Row]) -> int:
+    return max((row["version"] for row in commits), default=0)
+
+
+def _bits(bitmap: bytes | None) -> set[int]:
+    """Positions of the set bits of a bitmap aggregate."""
+    return {
+        8 * place + bit
+        for place, byte in enumerate(bitmap or b"")
+        if byte
+        for bit in range(8)
+        if byte >> bit & 1
+    }
 
 
 def append_rows(df: DataFrame, path: str) -> None:
