@@ -33,9 +33,8 @@ FIRST = [("p1", "created", 1000), ("p1", "authorized", 61_000), ("p2", "created"
 def test_closed_event_alone_keeps_earlier_stages(spark):
     target = gold.payment_lifecycle(payments(spark, FIRST))
     now = payments(spark, FIRST + [("p1", "closed", 121_500)])
-    changed, vanished = gold.payment_lifecycle_changes(now, target)
-    rows = by_key(changed, "payment_id")
-    assert set(rows) == {"p1"} and vanished.count() == 0
+    rows = by_key(gold.payment_lifecycle_changes(now, target), "payment_id")
+    assert set(rows) == {"p1"} and rows["p1"]["change"] == "count"
     assert rows["p1"]["criado_em"] is not None and rows["p1"]["autorizado_em"] is not None
     assert rows["p1"]["segundos_ate_fechamento"] == 120 and rows["p1"]["foi_fechado"]
 
@@ -51,9 +50,8 @@ def test_event_older_than_other_payments_is_noticed(spark):
 
 def test_vanished_payment(spark):
     target = gold.payment_lifecycle(payments(spark, FIRST))
-    changed, vanished = gold.payment_lifecycle_changes(payments(spark, FIRST[:2]), target)
-    assert changed.count() == 0
-    assert [r["payment_id"] for r in vanished.collect()] == ["p2"]
+    changes = gold.payment_lifecycle_changes(payments(spark, FIRST[:2]), target)
+    assert [(r["payment_id"], r["change"]) for r in changes.collect()] == [("p2", "vanished")]
 
 
 @pytest.mark.parametrize("seed", range(3))

@@ -54,8 +54,14 @@ def test_snapshot_lifecycle(spark, work):
     assert content(table.read()) == {5: "x", 6: "x", 7: "y"}
     table.overwrite(frame(spark, (8, "z", 1, 1)))
     assert content(table.read()) == {8: "z"}
-    table.overwrite(table.read().filter("id < 0"), clustered=True)
+    table.overwrite(table.read(), layout="kept")
+    assert content(table.read()) == {8: "z"}
+    table.overwrite(table.read().filter("id < 0"), layout="kept")
     assert content(table.read()) == {}
+    table.overwrite(frame(spark, *[(1, str(i), 1, i) for i in range(30)]), layout="rows")
+    assert table.read().count() == 30
+    with pytest.raises(ValueError, match="unknown layout"):
+        table.overwrite(table.read(), layout="sideways")
 
 
 def test_uncommitted_files_are_invisible(spark, work):

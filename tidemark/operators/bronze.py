@@ -37,8 +37,17 @@ def project_aliases(df: DataFrame, spec: DomainSpec) -> DataFrame:
 
 def drop_tombstones(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows without a key are compaction artefacts, never data."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.na.drop(subset=keys)
+    return present(df, key)
+
+
+def present(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """Rows with a value in every one of the columns.
+
+    Plain ``IS NOT NULL`` predicates, which reach the scan; ``na.drop`` does not.
+    """
+    for name in [columns] if isinstance(columns, str) else columns:
+        df = df.filter(F.col(name).isNotNull())
+    return df
 
 
 def above_watermark(
@@ -64,8 +73,8 @@ def dedup_latest(
     most one row per input task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    present = [name for name in order if name in df.columns]
-    best_first = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in present])
+    newest = [F.desc_nulls_last(name) for name in order if name in df.columns]
+    best_first = Window.partitionBy(*keys).orderBy(*newest)
     return df.withColumn("_rank", F.row_number().over(best_first)).filter("_rank = 1").drop("_rank")
 
 

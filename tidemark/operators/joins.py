@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import TRACE_COLUMNS
-from tidemark.operators.bronze import dedup_latest
+from tidemark.operators.bronze import dedup_latest, present
 
 #: Parts a hot join key is spread over; the small side is repeated this many times.
 SALTS = 16
@@ -18,7 +18,7 @@ def dedup_dimension(
     df: DataFrame, business_key: str, order: Sequence[str] = TRACE_COLUMNS
 ) -> DataFrame:
     """One registry row per business key, so that a join cannot multiply facts."""
-    return dedup_latest(df.filter(F.col(business_key).isNotNull()), business_key, order)
+    return dedup_latest(present(df, business_key), business_key, order)
 
 
 def left_join_flag(fact: DataFrame, dim: DataFrame, key: str, flag: str) -> DataFrame:
@@ -51,7 +51,7 @@ def salted_join(
 
 def bridge_pairs(bridge: DataFrame, fact_key: str, group_key: str) -> DataFrame:
     """Distinct complete ``(group, id)`` pairs of a bridge table."""
-    return bridge.select(group_key, fact_key).na.drop().distinct()
+    return present(bridge.select(group_key, fact_key), [group_key, fact_key]).distinct()
 
 
 def bridge_aggregate(
@@ -81,26 +81,50 @@ def bridge_distinct(
     """Exact distinct values per group through a many-to-many id bridge.
 
     Facts shrink to one row per ``(id, value)`` first.  A group with a single id takes
-    that id's count.  Only groups with several ids need the values themselves: there a
-    hot id is salted by value, and ``(group, value)`` pairs are reduced before they are
-    counted, so no task receives a whole hot group.
+    that id's count; only groups with several ids have to unite the values themselves
+    (:func:`united_distinct`).
     """
     pairs = bridge_pairs(bridge, fact_key, group_key)
-    values = fact.select(fact_key, value).na.drop().distinct()
-    sizes = pairs.groupBy(group_key).agg(
-        F.count(F.lit(1)).alias("_ids"), F.min(fact_key).alias(fact_key)
-    )
-
-    one_id = sizes.filter("_ids = 1").select(group_key, fact_key)
+    values = present(fact.select(fact_key, value), [fact_key, value]).distinct()
     per_id = values.groupBy(fact_key).agg(F.count(F.lit(1)).alias(alias))
+    one_id = (
+        pairs.groupBy(group_key)
+        .agg(F.count(F.lit(1)).alias("_ids"), F.min(fact_key).alias(fact_key))
+        .filter("_ids = 1")
+    )
     simple = one_id.join(per_id, fact_key).select(group_key, alias)
+    return simple.unionByName(
+        united_distinct(values, pairs, fact_key, group_key, value, alias, salts)
+    )
 
-    several_ids = pairs.join(sizes.filter("_ids > 1").select(group_key), group_key, "left_semi")
-    united = (
-        salted_join(values, several_ids, fact_key, F.col(value), salts=salts)
+
+def united_distinct(
+    values: DataFrame,
+    pairs: DataFrame,
+    fact_key: str,
+    group_key: str,
+    value: str,
+    alias: str,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Distinct values of the groups that have several ids.
+
+    ``values`` holds distinct ``(id, value)`` rows, ``pairs`` distinct ``(group, id)``
+    rows.  A hot id is salted by value, and ``(group, value)`` pairs are reduced before
+    they are counted, so no task receives a whole hot group.
+    """
+    several = (
+        pairs.groupBy(group_key)
+        .agg(F.count(F.lit(1)).alias("_ids"))
+        .filter("_ids > 1")
+        .select(group_key)
+    )
+    return (
+        salted_join(
+            values, pairs.join(several, group_key, "left_semi"), fact_key, F.col(value), salts=salts
+        )
         .select(group_key, value)
         .distinct()
         .groupBy(group_key)
         .agg(F.count(F.lit(1)).alias(alias))
     )
-    return simple.unionByName(united)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.bronze import present
 from tidemark.operators.merge import union_by_name
 
 #: Rows that a delete left without payload are outside a scoped check.
@@ -55,7 +56,7 @@ def check_relationships(
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    known = parent.select(F.col(parent_column).alias(column)).na.drop().distinct()
+    known = present(parent.select(F.col(parent_column).alias(column)), column).distinct()
     return values.join(known, column, "left_anti")
 
 
@@ -106,7 +107,7 @@ def check_backlog(pairs: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> Data
     """
     counts = []
     for name, (landing, bronze, key) in pairs.items():
-        landed = landing.select(F.col(key).alias("_key")).na.drop().distinct()
+        landed = present(landing.select(F.col(key).alias("_key")), "_key").distinct()
         counts.append(
             landed.agg(F.count(F.lit(1)).alias("chaves_no_landing")).select(
                 F.lit(name).alias("dominio"),

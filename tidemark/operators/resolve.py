@@ -52,11 +52,11 @@ def latest_versions(
 
     Works on batch and streaming input; a stream keeps one row of state per key.
     """
-    present = [name for name in order if name in df.columns]
+    known = [name for name in order if name in df.columns]
     return (
         drop_tombstones(df, key)
         .groupBy(F.col(key).alias("_key"))
-        .agg(F.max_by(F.struct(*df.columns), version_struct(present)).alias("_row"))
+        .agg(F.max_by(F.struct(*df.columns), version_struct(known)).alias("_row"))
         .select("_row.*")
     )
 

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import amount, average, cents, ratio, seconds_between
 from tidemark.operators.aggregates import change_reason
+from tidemark.operators.bronze import present
 from tidemark.operators.joins import (
     bridge_aggregate,
-    bridge_distinct,
+    bridge_pairs,
     dedup_dimension,
     left_join_flag,
+    united_distinct,
 )
 
 # Payment stages and the report column holding each first instant.
@@ -92,20 +94,20 @@ def _lifecycle_comparison(payments: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def payment_lifecycle_changes(
-    payments: DataFrame, target: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Rows to merge into an existing lifecycle table, and keys to remove from it.
+def payment_lifecycle_changes(payments: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows that bring an existing lifecycle table up to date, each with its ``change``.
 
-    Finding the changed payments needs a pass over all payment events anyway, so that
-    pass computes the complete row of every payment and keeps those that differ: each
-    changed payment is rebuilt from its full history, without a second scan or a join
-    back to the events.
+    ``new``, ``count`` and ``moment`` rows are to be merged; a ``vanished`` row holds
+    only its key, which is to be removed.  Finding the changed payments needs a pass
+    over all payment events anyway, so that pass computes the complete row of every
+    payment and keeps those that differ: each changed payment is rebuilt from its full
+    history, without a second scan or a join back to the events.
     """
-    compared = _lifecycle_comparison(payments, target)
-    changed = compared.filter("change <> 'vanished'").select("payment_id", "_new.*")
-    vanished = compared.filter("change = 'vanished'").select("payment_id")
-    return changed, vanished
+    return (
+        _lifecycle_comparison(payments, target)
+        .filter(F.col("change").isNotNull())
+        .select("payment_id", "change", "_new.*")
+    )
 
 
 def payment_lifecycle_incremental(payments: DataFrame, target: DataFrame) -> DataFrame:
@@ -146,7 +148,14 @@ def _stage_volume(payments: DataFrame) -> DataFrame:
 def payments_by_status(payments: DataFrame) -> DataFrame:
     """Volume per stage and its share of all events."""
     volume = _stage_volume(payments)
-    total = volume.agg(F.sum("eventos")).scalar()
+    # The total reads every column of the volume, so that Spark recognises the same
+    # exchange on both sides and computes it once.
+    total = volume.agg(
+        F.struct(
+            F.sum("eventos").alias("eventos"),
+            *[F.max(name) for name in volume.columns if name not in ("event_name", "eventos")],
+        )
+    ).scalar()["eventos"]
     return volume.select(
         "event_name",
         "eventos",
@@ -311,8 +320,6 @@ def user_behavior(
     more = dedup_dimension(extended, "cpf").select(
         "cpf", "first_name", "last_name", "job", "company_name"
     )
-    bridge = profiles.select("cpf", "user_id")
-
     bought = (
         orders.filter(F.col("user_key").isNotNull())
         .groupBy(F.col("user_key").alias("cpf"))
@@ -326,32 +333,36 @@ def user_behavior(
         )
     )
 
-    per_searcher = searches.groupBy("user_id").agg(
+    # One row per id.  The three parts are grouped by the same id, so putting them side
+    # by side and sending them over the bridge costs one shuffle, not three.
+    searched = searches.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("_searches"),
         F.sum(F.col("result_count").cast("bigint")).alias("_results"),
         F.count("result_count").alias("_counted"),
         F.count("clicked_product_id").alias("_clicked"),
     )
-    searched = bridge_aggregate(
-        per_searcher, bridge, "user_id", "cpf", ["_searches", "_results", "_counted", "_clicked"]
-    )
-    terms = bridge_distinct(searches, bridge, "user_id", "cpf", "query_text", "_terms")
-
+    values = present(
+        searches.select("user_id", "query_text"), ["user_id", "query_text"]
+    ).distinct()
+    searched_terms = values.groupBy("user_id").agg(F.count(F.lit(1)).alias("_id_terms"))
     kind = F.col("event_type")
-    per_viewer = recommendations.groupBy("user_id").agg(
+    viewed = recommendations.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("_recs"),
         F.count_if(kind == "recommendation_served").alias("_served"),
         F.count_if(kind == "view").alias("_viewed"),
         F.count_if(kind == "click").alias("_rec_clicks"),
         F.count_if(kind == "add_to_cart").alias("_carted"),
     )
-    recommended = bridge_aggregate(
-        per_viewer, bridge, "user_id", "cpf",
-        ["_recs", "_served", "_viewed", "_rec_clicks", "_carted"],
-    )
+    per_id = searched.join(searched_terms, "user_id", "left").join(viewed, "user_id", "full")
+
+    pairs = bridge_pairs(profiles, "user_id", "cpf")
+    measures = [name for name in per_id.columns if name != "user_id"]
+    active = bridge_aggregate(per_id, profiles, "user_id", "cpf", measures)
+    # Terms of a person with several ids overlap: their union replaces the sum.
+    united = united_distinct(values, pairs, "user_id", "cpf", "query_text", "_united")
 
     joined = left_join_flag(profile, more, "cpf", "sem_perfil_estendido")
-    for part in (bought, searched, terms, recommended):
+    for part in (bought, active, united):
         joined = joined.join(part, "cpf", "left")
     return joined.select(
         "cpf", "user_id", "user_uuid", "first_name", "last_name", "email", "city", "country",
@@ -363,7 +374,7 @@ def user_behavior(
         "ultimo_pedido",
         F.coalesce("_restaurants", zero).alias("restaurantes_distintos"),
         F.coalesce("_searches", zero).alias("buscas"),
-        F.coalesce("_terms", zero).alias("termos_distintos"),
+        F.coalesce("_united", "_id_terms", zero).alias("termos_distintos"),
         ratio("_results", "_counted").alias("resultados_medios"),
         F.coalesce("_clicked", zero).alias("buscas_com_clique"),
         F.coalesce("_recs", zero).alias("recomendacoes"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from tidemark.operators.audit import layer_row_counts, processing_log
-from tidemark.operators.bronze import bronze, normalise
+from tidemark.operators.bronze import normalise
 from tidemark.operators.contracts import contract_for
 from tidemark.operators.quality import quality_summary
 from tidemark.operators.resolve import resolve_cdc
@@ -77,7 +77,7 @@ class Medallion:
     # ----------------------------------------------------------------- layers
     def build_bronze(self, name: str, batch: DataFrame) -> None:
         """Merge a landing batch; the newest version per key stays, deletes included."""
-        self.bronze_table(name).merge(bronze(batch, DOMAINS[name]), unique=True)
+        self.bronze_table(name).merge(normalise(batch, DOMAINS[name]))
 
     def build_silver(self, name: str, landing: DataFrame) -> None:
         """Current state per contract."""
@@ -85,12 +85,12 @@ class Medallion:
         upsert = contract.cdc_strategy == "upsert" and contract.unique_key == DOMAINS[name].key
         if upsert and self.materialise_silver:
             rows = current_state(self.bronze_table(name))
-            self.silver_table(name).overwrite(rows, clustered=True)
+            self.silver_table(name).overwrite(rows, layout="kept")
         elif not upsert:
             rows = resolve_cdc(
                 normalise(landing, DOMAINS[name]), contract.cdc_strategy, contract.unique_key
             )
-            self.silver_table(name).overwrite(rows)
+            self.silver_table(name).overwrite(rows, layout="rows")
 
     def read_silver(self, name: str) -> DataFrame:
         """A Silver table: the written copy, or Bronze without delete markers."""
@@ -103,9 +103,10 @@ class Medallion:
         sources = [self.read_silver(domain) for domain in inputs]
         table = self.gold_table(name)
         if name == "payment_lifecycle" and table.exists():
-            changed, vanished = gold.payment_lifecycle_changes(sources[0], table.read())
-            table.merge(changed, order=())
-            table.remove(vanished)
+            changes = gold.payment_lifecycle_changes(sources[0], table.read()).persist()
+            table.merge(changes.filter("change <> 'vanished'").drop("change"), order=())
+            table.remove(changes.filter("change = 'vanished'").select("payment_id"))
+            changes.unpersist()
         else:
             table.overwrite(report(*sources))
 

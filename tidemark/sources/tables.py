@@ -142,34 +142,42 @@ class Snapshot:
         commit = self.spark.createDataFrame(lines, _LOG).coalesce(1)
         commit.write.mode("append").json(f"{self.path}/log")
 
-    def overwrite(self, df: DataFrame, clustered: bool = False) -> None:
+    def overwrite(self, df: DataFrame, layout: str = "key") -> None:
         """Replace the whole table.
 
-        ``clustered`` promises that ``df`` reads a table with the same key and number
-        of buckets, whose rows already lie together: they are written without a shuffle.
+        ``layout`` says how rows find their bucket:
+
+        ``key``    by a shuffle on the key
+        ``kept``   ``df`` reads a table with the same key and buckets, whose rows already
+                   lie together; written without a shuffle
+        ``rows``   every task fills one bucket, whatever the keys; for histories, in which
+                   one key may hold a large share of the rows.  Such a table can be
+                   replaced and read, but not merged into.
         """
-        placed = df.withColumn("bucket", self._bucket()) if clustered else self._spread(df, self.buckets)
+        if layout == "key":
+            placed = self._spread(df, self.buckets)
+        elif layout == "kept":
+            placed = df.withColumn("bucket", self._bucket())
+        elif layout == "rows":
+            placed = df.withColumn("bucket", F.spark_partition_id() % self.buckets)
+        else:
+            raise ValueError(f"unknown layout {layout!r}; expected key, kept or rows")
         self._write(placed, self.version() + 1, None)
 
-    def merge(
-        self,
-        updates: DataFrame,
-        order: Sequence[str] = TRACE_COLUMNS,
-        unique: bool = False,
-    ) -> int:
+    def merge(self, updates: DataFrame, order: Sequence[str] = TRACE_COLUMNS) -> int:
         """Insert new keys, replace older versions; returns the number of buckets written.
 
-        Columns follow ``updates``.  The batch is reduced to one row per key first,
-        unless ``unique`` says that it already is; stored and incoming rows of a bucket
-        then meet in a single shuffle.  Applying the same batch again changes nothing,
-        so a stream may replay it after a failure.  With an empty ``order`` incoming
-        rows always win; they must be unique.
+        Columns follow ``updates``.  The batch is reduced to one row per key first;
+        stored and incoming rows of a bucket then meet in a single shuffle.  Applying
+        the same batch again changes nothing, so a stream may replay it after a
+        failure.  With an empty ``order`` incoming rows always win; they must be unique.
         """
-        batch = updates if unique or not order else dedup_latest(updates, self.key, order)
+        batch = dedup_latest(updates, self.key, order) if order else updates
         commits = self._commits()
         if not commits:
             self._write(self._spread(batch, self.buckets), 1, None)
             return self.buckets
+        # the keys before deduplication are the same and need one narrow scan only
         touched = self._touched(updates)
         if touched:
             both = (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions import TRACE_COLUMNS, is_delete
+from tidemark.operators.bronze import drop_tombstones
 from tidemark.operators.resolve import latest_versions
 from tidemark.sources.tables import Snapshot
 
@@ -40,7 +41,7 @@ def run_resolve(
     source = stream_latest(stream, target.key, order) if stateful else stream
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.na.drop(subset=[target.key]).persist()
+        rows = drop_tombstones(batch, target.key).persist()
         target.merge(rows, order)
         rows.unpersist()
 

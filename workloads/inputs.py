@@ -48,6 +48,7 @@ class Feed:
     payload: dict[str, str]     # source column -> expression; may use ``ver``
     sequence: str = ""          # unique number per source row; defaults to ``row``
     spread: str = ""            # integer that picks the log partition of a key
+    prepared: str = "NULL"      # text computed once per source row, for use in the payload
 
     @property
     def position(self) -> str:
@@ -90,13 +91,13 @@ FEEDS = {
         "events", "CAST(event_id AS STRING)", "event_id", "{ms:ts}",
         {
             "payment_id": "CAST(user_id AS STRING)",
-            "event": (
-                "'{\"event_name\": \"' || " + _STAGE + " || '\", \"timestamp\": ' || "
-                "CASE WHEN event_id % 3 = 0 THEN substr(" + _STAGE_MS + ", 1, 1) || '.' || "
-                "substr(" + _STAGE_MS + ", 2) || 'e12' ELSE " + _STAGE_MS + " END || '}'"
-            ),
+            "event": "prepared",
             "dt_current_timestamp": "ts",
         },
+        # the moment is written as an integer or as a scientific float
+        prepared="'{\"event_name\": \"' || " + _STAGE + " || '\", \"timestamp\": ' || "
+                 "CASE WHEN event_id % 3 = 0 THEN substr(" + _STAGE_MS + ", 1, 1) || '.' || "
+                 "substr(" + _STAGE_MS + ", 2) || 'e12' ELSE " + _STAGE_MS + " END || '}'",
     ),
     "orders": Feed(
         "orders", "CAST(o_orderkey AS STRING)", "o_orderkey", "{ms:o_orderdate}",
@@ -302,6 +303,7 @@ def landing(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
         f"CAST({feed.position} AS BIGINT) AS sequence_no",
         f"CAST({feed.lane} AS BIGINT) AS lane_no",
         f"CAST({_render(feed.base_ms, 'spark')} AS BIGINT) AS base_ms",
+        f"CAST({_render(feed.prepared, 'spark')} AS STRING) AS prepared",
     )
     stepped = numbered.selectExpr("*", f"explode(sequence(0, {_STEPS})) AS step").selectExpr(
         "*", f"CAST({_VERSION} AS BIGINT) AS ver"
@@ -336,7 +338,8 @@ FROM (
       SELECT *, CAST({feed.row} AS BIGINT) AS row_no,
         CAST({feed.position} AS BIGINT) AS sequence_no,
         CAST({feed.lane} AS BIGINT) AS lane_no,
-        CAST({_render(feed.base_ms, 'duckdb')} AS BIGINT) AS base_ms
+        CAST({_render(feed.base_ms, 'duckdb')} AS BIGINT) AS base_ms,
+        CAST({_render(feed.prepared, 'duckdb')} AS VARCHAR) AS prepared
       FROM {feed.table}
     ) numbered) unrolled
   ) stepped
