@@ -45,8 +45,18 @@ def rows(columns, data):
     )
 
 
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(df, con, sql) -> str | None:
     """None when both sides agree, else a description of the first difference."""
+    described = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    for name, kind in df.dtypes:
+        if name in described and SAME_TYPE.get(kind) != described[name]:
+            return f"{name} is {kind}, expected {described[name]}"
     got_columns = df.columns
     got = rows(got_columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)

@@ -1,14 +1,15 @@
 """One Bronze -> Silver -> Gold run over landing tables.
 
-Tables of one layer do not depend on each other and are submitted together; Spark
-shares the cluster between them.  Every table is written before the next layer reads
-it, so a lost executor never costs more than the layer at hand, and no lineage grows.
+Domains do not depend on each other and are submitted together, then the reports are;
+Spark shares the cluster between them.  Every table is written before the next layer
+reads it, so a lost executor never costs more than the table at hand, and no lineage
+grows.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
@@ -114,23 +115,35 @@ class Medallion:
     def run(self, batches: Mapping[str, DataFrame], landing: Mapping[str, DataFrame]) -> None:
         """Build all layers from the new ``batches`` and the whole ``landing`` history."""
         self.results = []
-        self._together({f"bronze_{n}": (self.build_bronze, n, batches[n]) for n in self.domains})
-        self._together({f"silver_{n}": (self.build_silver, n, landing[n]) for n in self.domains})
-        self._together({f"gold_{n}": (self.build_gold, n) for n in self.reports()})
-
-    def _together(self, steps: Mapping[str, tuple]) -> None:
-        def attempt(name: str, build: Callable, *arguments) -> None:
-            began, clock = datetime.now(UTC), time.monotonic()
-            status, message = "success", None
-            try:
-                build(*arguments)
-            except Exception as failure:  # recorded, and raised below
-                status, message = "error", str(failure)
-            self.results.append((name, status, message, began, time.monotonic() - clock))
+        self._together(
+            [
+                {
+                    f"bronze_{name}": partial(self.build_bronze, name, batches[name]),
+                    f"silver_{name}": partial(self.build_silver, name, landing[name]),
+                }
+                for name in self.domains
+            ]
+        )
+        self._together([{f"gold_{name}": partial(self.build_gold, name)} for name in self.reports()])
+
+    def _together(self, chains: Sequence[Mapping[str, Callable[[], None]]]) -> None:
+        """Build independent chains side by side; a failure ends its own chain only."""
+
+        def follow(chain: Mapping[str, Callable[[], None]]) -> None:
+            for name, build in chain.items():
+                began, clock = datetime.now(UTC), time.monotonic()
+                status, message = "success", None
+                try:
+                    build()
+                except Exception as failure:  # recorded here, raised when all chains ended
+                    status, message = "error", str(failure)
+                self.results.append((name, status, message, began, time.monotonic() - clock))
+                if status == "error":
+                    return
 
         with ThreadPoolExecutor(self.threads) as pool:
-            for name, step in steps.items():
-                pool.submit(inheritable_thread_target(self.spark)(attempt), name, *step)
+            for chain in chains:
+                pool.submit(inheritable_thread_target(self.spark)(follow), chain)
         failed = sorted(name for name, status, *_ in self.results if status == "error")
         if failed:
             raise RuntimeError(f"models failed: {', '.join(failed)}")

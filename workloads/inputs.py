@@ -124,7 +124,7 @@ FEEDS = {
             "unit_price": "l_extendedprice",
             "quantity": "CAST(l_quantity AS INT)",
             "subtotal": "l_extendedprice + ver",
-            "discount_applied": "floor(l_extendedprice * l_discount * 100.0 + 0.5) / 100.0",
+            "discount_applied": "CAST(floor(l_extendedprice * l_discount * 100.0 + 0.5) AS DOUBLE) / CAST(100 AS DOUBLE)",
             "modifiers": "CAST(NULL AS STRING)",
             "is_combo": "(l_linenumber % 2 = 0)",
             "is_vegetarian": "(l_returnflag = 'N')",
@@ -148,7 +148,7 @@ FEEDS = {
             "distance_covered_km": "l_quantity * 1.5",
             "earnings_brl": "l_extendedprice",
             "shift_rating": "CASE WHEN l_linenumber = 7 THEN CAST(NULL AS DOUBLE) "
-                            "ELSE floor(l_discount * 50.0 + 0.5) / 4.0 END",
+                            "ELSE CAST(floor(l_discount * 50.0 + 0.5) AS DOUBLE) / CAST(4 AS DOUBLE) END",
             "issues_reported": _ISSUE,
             "available": "(l_linestatus = 'O')",
             "dt_current_timestamp": "l_shipdate",
@@ -223,7 +223,7 @@ FEEDS = {
             "cuisine_type": "p_type",
             "opening_time": "'10:00:00'",
             "closing_time": "'22:00:00'",
-            "average_rating": "floor(p_retailprice / 10.0) / 100.0",
+            "average_rating": "CAST(floor(p_retailprice / 10.0) AS DOUBLE) / CAST(100 AS DOUBLE)",
             "num_reviews": "p_size",
             "dt_current_timestamp": "CAST(NULL AS TIMESTAMP)",
         },
