@@ -7,7 +7,6 @@ applies the same rules to stored tables, one touched bucket at a time.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,5 +85,12 @@ def remove_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
-    """Concatenate frames; columns missing on one side become NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Concatenate frames; columns missing on one side become NULL.
+
+    Halves are joined pairwise, which keeps plans of many parts shallow.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    left, right = union_by_name(frames[:middle]), union_by_name(frames[middle:])
+    return left.unionByName(right, allowMissingColumns=True)
