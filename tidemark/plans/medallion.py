@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -176,7 +176,13 @@ class Medallion:
                         status,
                         seconds,
                         message,
-                        [("execute", began.isoformat(), datetime.now(UTC).isoformat())],
+                        [
+                            (
+                                "execute",
+                                began.isoformat(),
+                                (began + timedelta(seconds=seconds)).isoformat(),
+                            )
+                        ],
                     )
                     for name, status, message, began, seconds in self.results
                 ],

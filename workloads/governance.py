@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import epoch_ms
 from tidemark.operators import audit, contracts, monitor, quality
+from tidemark.operators.resolve import resolve_cdc
 from tidemark.plans import gold
 from tidemark.plans.checks import layer_suite
 from tidemark.spec import DOMAINS
 from workloads.inputs import TOPIC_SAMPLES_SQL, landing, landing_sql, table, topic_samples
-from workloads.layers import MIXED_FEED_SQL, bronze, mixed_feed, silver
-from workloads.sql import bronze_sql, silver_sql, with_silver
+from workloads.layers import MIXED_FEED_SQL, bronze, history, mixed_feed, silver
+from workloads.sql import NEWEST, bronze_sql, history_sql, silver_sql, with_silver
 
 QUERIES = {}
 ORACLES = {}
@@ -257,24 +258,25 @@ ORACLES["check_relationships"] = (
 )
 
 
+_SPLIT_MS = 1705363200000
+
+
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report built before some events arrived, with a phantom side, against all events."""
-    payments = silver(spark, sf_dir, "payment_events")
-    seen = payments.filter(
-        "event_name <> 'captured' OR cast(payment_id AS int) < 60"
-    ).filter("cast(payment_id AS int) <> 7")
-    report = gold.payment_lifecycle(seen)
-    facts = payments.filter("cast(payment_id AS int) <> 11")
-    return quality.reconcile(facts, report)
+    """A report built from earlier arrivals against the current facts."""
+    changes = history(spark, sf_dir, "payment_events")
+    earlier = changes.filter(F.col("kafka_created_at") < _SPLIT_MS)
+    report = gold.payment_lifecycle(resolve_cdc(earlier, "upsert", "event_id"))
+    return quality.reconcile(silver(spark, sf_dir, "payment_events"), report)
 
 
 QUERIES["reconcile"] = reconcile
-ORACLES["reconcile"] = with_silver("payment_events") + """,
+ORACLES["reconcile"] = with_silver("payment_events") + f""",
+earlier AS (SELECT * FROM ({history_sql('payment_events')}) h WHERE kafka_created_at < {_SPLIT_MS}
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY {NEWEST}) = 1),
 s AS (SELECT payment_id, count(*) AS n, max(event_timestamp_ms) AS m FROM s_payment_events
-  WHERE CAST(payment_id AS INT) <> 11 GROUP BY 1),
-g AS (SELECT payment_id, count(*) AS n, max(event_timestamp_ms) AS m FROM s_payment_events
-  WHERE (event_name <> 'captured' OR CAST(payment_id AS INT) < 60)
-    AND CAST(payment_id AS INT) <> 7 GROUP BY 1)
+  WHERE payment_id IS NOT NULL GROUP BY 1),
+g AS (SELECT payment_id, count(*) AS n, max(event_timestamp_ms) AS m FROM earlier
+  WHERE payment_id IS NOT NULL AND op IS DISTINCT FROM 'd' GROUP BY 1)
 SELECT coalesce(s.payment_id, g.payment_id) AS payment_id, s.n AS eventos_silver,
   s.m AS ultimo_ms_silver, g.n AS eventos_gold, g.m AS ultimo_ms_gold,
   CASE WHEN g.payment_id IS NULL THEN 'pagamento ausente na Gold'
@@ -294,7 +296,6 @@ def check_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
                 spec.key.upper(),
             )
             for name, spec in DOMAINS.items()
-            if name in ("orders", "payment_events", "users_mongo")
         }
     )
 
@@ -304,7 +305,7 @@ ORACLES["check_backlog"] = " UNION ALL ".join(
     f"SELECT 'bronze_{d}' AS dominio, l AS chaves_no_landing, b AS linhas_no_modelo, l - b AS backlog "
     f"FROM (SELECT (SELECT count(DISTINCT {DOMAINS[d].key}) FROM ({landing_sql(d)}) x) AS l, "
     f"(SELECT count(*) FROM ({silver_sql(d)}) y) AS b) z WHERE l <> b"
-    for d in ("orders", "payment_events", "users_mongo")
+    for d in DOMAINS
 )
 
 
