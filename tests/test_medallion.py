@@ -65,6 +65,10 @@ def test_log_contract_keeps_history(spark, feeds, work):
     assert history.filter("op = 'd'").count() > 0
     assert history.count() == whole["orders"].filter("ORDER_ID IS NOT NULL").count()
 
+    # back under the default contract, the copy of the history must not be served
+    again = Medallion(spark, work, buckets=4, domains=("orders",))
+    assert again.read_silver("orders").filter("op = 'd'").count() == 0
+
 
 def test_failed_model_is_named(spark, feeds, work):
     whole, _, _ = feeds

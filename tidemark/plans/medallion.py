@@ -28,7 +28,7 @@ from tidemark.plans import gold
 from tidemark.plans.checks import layer_suite
 from tidemark.sources.artifacts import RUN_RESULTS
 from tidemark.sources.tables import Snapshot, append_rows
-from tidemark.spec import DOMAINS
+from tidemark.spec import DOMAINS, Contract
 from tidemark.streaming.live import current_state
 
 # Grain of every report.
@@ -80,23 +80,30 @@ class Medallion:
         """Merge a landing batch; the newest version per key stays, deletes included."""
         self.bronze_table(name).merge(normalise(batch, DOMAINS[name]))
 
+    def _contract(self, name: str) -> tuple[Contract, bool]:
+        """Contract of a domain, and whether Bronze alone can answer it."""
+        contract = contract_for(f"silver_{name}", self.contracts)
+        latest = contract.cdc_strategy == "upsert" and contract.unique_key == DOMAINS[name].key
+        return contract, latest
+
     def build_silver(self, name: str, landing: DataFrame) -> None:
         """Current state per contract."""
-        contract = contract_for(f"silver_{name}", self.contracts)
-        upsert = contract.cdc_strategy == "upsert" and contract.unique_key == DOMAINS[name].key
-        if upsert and self.materialise_silver:
-            rows = current_state(self.bronze_table(name))
-            self.silver_table(name).overwrite(rows, layout="kept")
-        elif not upsert:
+        contract, latest = self._contract(name)
+        if not latest:
             rows = resolve_cdc(
                 normalise(landing, DOMAINS[name]), contract.cdc_strategy, contract.unique_key
             )
             self.silver_table(name).overwrite(rows, layout="rows")
+        elif self.materialise_silver:
+            rows = current_state(self.bronze_table(name))
+            self.silver_table(name).overwrite(rows, layout="kept")
 
     def read_silver(self, name: str) -> DataFrame:
         """A Silver table: the written copy, or Bronze without delete markers."""
-        table = self.silver_table(name)
-        return table.read() if table.exists() else current_state(self.bronze_table(name))
+        _, latest = self._contract(name)
+        if latest and not self.materialise_silver:
+            return current_state(self.bronze_table(name))
+        return self.silver_table(name).read()
 
     def build_gold(self, name: str) -> None:
         """Rebuild a report; the payment lifecycle rewrites only what changed."""
