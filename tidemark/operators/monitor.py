@@ -136,7 +136,9 @@ def _seconds(ts: Column) -> Column:
     return epoch_ms(ts).cast("double") / F.lit(1000.0)
 
 
-def topic_rate(messages: DataFrame, ts: str = "ts", topic: str = "topic", width: str = "1 minute") -> DataFrame:
+def topic_rate(
+    messages: DataFrame, ts: str = "ts", topic: str = "topic", width: str = "1 minute"
+) -> DataFrame:
     """Messages and bytes per topic in tumbling windows (batch or stream)."""
     return (
         messages.groupBy(F.window(ts, width).alias("_w"), F.col(topic).alias("topic"))

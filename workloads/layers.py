@@ -19,7 +19,7 @@ from tidemark.operators.contracts import contract_for
 from tidemark.sources.changes import read_changes, route, topic_tables, unwrap_envelope
 from tidemark.spec import DOMAINS
 from workloads.inputs import landing, landing_sql, table, union_all
-from workloads.sql import CONTROL, NEWEST, bronze_sql, history_sql, silver_sql
+from workloads.sql import NEWEST, bronze_sql, history_sql, silver_sql
 
 QUERIES = {}
 ORACLES = {}
@@ -407,5 +407,3 @@ ORACLES["remap_key"] = (
     "SELECT c_custkey, CAST(CAST(regexp_replace(c_name, '[^0-9]', '', 'g') AS BIGINT) % 354 + 1 "
     "AS VARCHAR) AS driver_key FROM customer"
 )
-
-__all__ = ["CONTROL", "ORACLES", "QUERIES"]
