@@ -4,7 +4,8 @@ import oracle
 import pytest
 from conftest import SF
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from workloads.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +13,14 @@ def con():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert name in oracle_sql()
-    assert oracle.compare(queries()[name](spark, SF), con, oracle_sql()[name]) is None
+    assert name in ORACLES
+    assert oracle.compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
 def test_every_oracle_has_a_query():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
