@@ -126,3 +126,19 @@ def span_digest(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
 
 def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def row_key(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_key`` and ``text``.
+
+    The two keys tell rows apart that share an id but not a text; equal rows share both,
+    and so do their results.
+    """
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
+def same_row(left: str, right: str) -> Column:
+    """Join condition on the keys of ``row_key``; a NULL id meets a NULL id."""
+    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (
+        F.col(f"{left}.text_key") == F.col(f"{right}.text_key")
+    )

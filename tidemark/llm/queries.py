@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, pii, quality_rules
+from tidemark.llm import bpe, decontaminate, pii, quality_rules, secrets
 from tidemark.llm.common import count_kind, span_digest, table
 
 QUERIES = {}
@@ -20,6 +20,19 @@ def query(function):
     return function
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
@@ -51,3 +64,15 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_digest(spans, pii.BASE_KINDS), 256).alias("base_sha256"),
         span_digest(spans).alias("spans"),
     )
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(count_kind(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS),
+        F.sha2(span_digest(spans, secrets.BASE_KINDS), 256).alias("base_sha256"),
+        span_digest(spans).alias("spans"),
+    )
