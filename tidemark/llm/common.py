@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+import tidemark
 from tidemark.sources.workdir import shared_dir
 
 #: Rows of a small join side up to which it may be broadcast; beyond it the join is salted.
@@ -60,6 +66,16 @@ def small_join(
     return dealt.join(salted, [*keys, "_salt"], how).drop("_salt")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for code run in Python."""
+    context = spark.sparkContext
+    if not getattr(context, "_tidemark_sent", False):
+        package = Path(tidemark.__file__).parent
+        name = f"{tempfile.mkdtemp()}/tidemark-{uuid.uuid4().hex[:8]}"
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        context._tidemark_sent = True
+
+
 def arrow_schema(schema: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -77,6 +93,7 @@ def map_documents(
     ``make()`` runs once per task and gives a function from an Arrow array of values to one
     list or Arrow array per field of ``fields`` (a DDL string).  The other columns pass unchanged.
     """
+    ship(df.sparkSession)
     value = df.columns[-1]
     kept = df.columns[:-1]
     new = StructType.fromDDL(fields)
@@ -142,3 +159,93 @@ def same_row(left: str, right: str) -> Column:
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (
         F.col(f"{left}.text_key") == F.col(f"{right}.text_key")
     )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int) -> DataFrame:
+    """``doc_id``, ``label`` and ``text`` of at most ``rows`` labelled documents.
+
+    The ids with the least hashes are taken among those for which ``usable`` holds, so the
+    sample is the same whatever the partitions.  Of repeated ids one text is taken.
+    """
+    ids = (
+        labels.filter(usable & F.col(label).isNotNull())
+        .groupBy("doc_id")
+        .agg(F.max(label).alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(rows)
+    )
+    return (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(ids), "doc_id")  # ``rows`` rows at most
+        .dropDuplicates(["doc_id"])
+        .select("doc_id", F.col("label").cast("int").alias("label"), "text")
+    )
+
+
+def map_groups(
+    df: DataFrame, keys: list[str], work: Callable[[pa.RecordBatch], Iterable], fields: str
+) -> DataFrame:
+    """``work`` on the rows of each group, which must be bounded; ``fields`` is its result.
+
+    Rows are dealt and sorted by ``keys`` (numbers without NULL), and each task passes over
+    its groups one by one: cheaper than a call of ``applyInPandas`` for very many groups.
+    """
+    ship(df.sparkSession)
+    schema = StructType.fromDDL(fields)
+    types, names = [f.type for f in arrow_schema(schema)], schema.names
+
+    def result(found):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the group that may go on in the next batch
+
+        def ended():
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            return result(work(whole))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+                yield ended()
+                held = []
+            values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            new = np.logical_or.reduce([v[1:] != v[:-1] for v in values])
+            edges = [0, *(np.flatnonzero(new) + 1), batch.num_rows]
+            for start, end in zip(edges, edges[1:]):
+                held.append(batch.slice(start, end - start))
+                if end < batch.num_rows:
+                    yield ended()
+                    held = []
+        if held:
+            yield ended()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """``node`` and ``root`` (the least node of its component) for edges ``(u, v)``.
+
+    Labels go to the neighbours and along themselves until none changes: few rounds, each
+    one written to the shared folder; the driver sees one count per round.
+    """
+    both = stored(
+        edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(),
+        f"{name}-edges",
+    )
+    labels = stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")), f"{name}-labels")
+    while True:
+        near = (
+            both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("root").alias("near"))
+        )
+        hooked = labels.join(near, "u").select("u", "root", F.least("root", "near").alias("new"))
+        jump = labels.select(F.col("u").alias("new"), F.col("root").alias("far"))
+        moved = stored(
+            hooked.join(jump, "new", "left").select("u", "root", F.least("new", "far").alias("new")),
+            f"{name}-labels",
+        )
+        changed = moved.filter("root <> new").limit(1).count()
+        labels = moved.select("u", F.col("new").alias("root"))
+        if not changed:
+            return labels.withColumnRenamed("u", "node")

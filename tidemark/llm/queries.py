@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, pii, quality_rules, secrets
-from tidemark.llm.common import count_kind, span_digest, table
+from tidemark.llm import (
+    bpe,
+    decontaminate,
+    language,
+    near_duplicates,
+    pii,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    toxicity,
+)
+from tidemark.llm.common import count_kind, fold, span_digest, table
 
 QUERIES = {}
 ORACLES = {}
@@ -33,6 +43,20 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(parts: int, part: int) -> Column:
+    """Whether a document is kept from learning; a NULL id is not used for it either."""
+    return F.coalesce(fold("doc_id", parts) == part, F.lit(False)).alias("held_out")
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.learn(docs, labels, fold("doc_id", 5) != 0)
+    scored = quality_classifier.score(docs, model)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(5, 0), "score", predicted)
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
@@ -54,6 +78,21 @@ def token_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels, fold("doc_id", 3) != 1)
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(3, 1), "score", predicted)
+
+
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "copy_id")
+
+
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
@@ -66,6 +105,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.learn(docs, fold("doc_id", 4) != 2))
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score", "ambiguous")
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents"))
