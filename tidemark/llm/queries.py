@@ -11,6 +11,7 @@ from tidemark.llm import (
     decontaminate,
     language,
     near_duplicates,
+    passages,
     pii,
     quality_classifier,
     quality_rules,
@@ -105,6 +106,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
