@@ -2,7 +2,6 @@
 
 import json
 import random
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,7 +31,8 @@ from tidemark.operators.quality import (
 )
 from tidemark.plans.checks import SUITES, size
 from tidemark.sources.artifacts import read_run_results
-from tidemark.sources.exports import export_domain, export_summary, load_exports, select_files
+from tidemark.sources.exports import export_summary, load_exports, select_files, upsert_exports
+from tidemark.sources.tables import Snapshot
 
 
 # --------------------------------------------------------------------- exports
@@ -43,7 +43,7 @@ def exports(tmp_path):
         (tmp_path / name).write_text("\n".join(lines) + "\n\n")
 
     stamp = "2024-01-01T00:00:00Z"
-    put("kafka_orders_2.json", {"order_id": "a", "driver_key": "wr2179397", "total_amount": 2.5},
+    put("kafka_orders_2.json", {"order_id": "a", "driver_key": "zk8801425", "total_amount": 2.5},
         {"order_id": "b", "driver_key": None})
     put("kafka_orders_1.json", {"order_id": "a", "total_amount": 1.0}, {"total_amount": 9})
     put("kafka_events_1.json",
@@ -59,7 +59,7 @@ def exports(tmp_path):
 
 def test_export_files(spark, exports):
     def names(batch, domain=None):
-        return [Path(p).name for p in select_files(spark, exports, batch, domain)]
+        return sorted(r["file"] for r in select_files(spark, exports, batch, domain).collect())
 
     everything = ["kafka_events_1.json", "kafka_orders_1.json", "kafka_orders_2.json",
                   "kafka_shift_9.json", "mongodb_users_1.JSON"]
@@ -67,16 +67,24 @@ def test_export_files(spark, exports):
     assert names("initial") == everything[:4] and names("incremental") == everything[4:]
     assert names("all", "orders") == everything[1:3]
     assert names("initial", "orders") == everything[1:2]
-    assert export_domain("mysql_menu_1.json") is None
+    assert "mysql_menu_1.json" not in names("all")
     with pytest.raises(ValueError):
         select_files(spark, exports, "half")
 
 
+def test_exports_end_in_an_upsert(spark, exports, work):
+    orders = Snapshot(spark, work, "order_id", buckets=2)
+    for batch in ("initial", "incremental", "all"):
+        upsert_exports(spark, exports, {"orders": orders}, batch)
+    got = {r["order_id"]: r["total_amount"] for r in orders.read().collect()}
+    assert got == {"a": 2.5, "b": None}
+
+
 def test_export_rows(spark, exports):
     loaded = load_exports(spark, exports)
     orders = {r["order_id"]: r for r in loaded["orders"].collect()}
     assert orders["a"]["total_amount"] == 2.5  # the later file wins
-    assert orders["a"]["driver_key"] == str(2179397 % 354 + 1) and orders["b"]["driver_key"] is None
+    assert orders["a"]["driver_key"] == str(8801425 % 354 + 1) and orders["b"]["driver_key"] is None
     events = loaded["payment_events"].collect()
     assert [r["event_id"] for r in events] == ["e1"]
     assert json.loads(events[0]["event"])["event_name"] == "created"

@@ -3,32 +3,58 @@
 import pytest
 from conftest import SF
 
-from __spark_entry__ import queries
+from tidemark.operators.aggregates import share_of_total
 from tidemark.operators.bronze import bronze, dedup_latest
 from tidemark.operators.joins import dedup_dimension
 from tidemark.operators.resolve import resolve_cdc
 from tidemark.plans import gold
 from tidemark.spec import DOMAINS
-from workloads.inputs import landing
+from workloads.inputs import landing, table
 from workloads.layers import silver, user_feed
-
-RUNS_WHEN_CALLED = {name for name in queries() if name.startswith(("stream_", "snapshot_"))}
+from workloads.registry import QUERIES
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - RUNS_WHEN_CALLED))
+def single_task_steps(text):
+    """Operators between each single-partition exchange and the next exchange above it."""
+    lines = text.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+    for at, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            level = depth[at]
+            for above in range(at - 1, -1, -1):
+                if depth[above] < level:
+                    level = depth[above]
+                    if "Exchange" in lines[above]:
+                        break
+                    yield lines[above].lstrip(" :+-*()0123456789").split(" ")[0]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairwise_join_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for operator in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "FlatMapGroups"):
         assert operator not in text
-    # the whole input is never sorted in one task: an unpartitioned window only in the funnel
-    if "Window" in text and name != "payment_funnel":
-        for line in text.splitlines():
-            if "Window [" in line:
-                assert "windowspecdefinition(ordem" not in line
+    # nothing is sorted or windowed in one task but the seven stages of the funnel
+    if name != "payment_funnel":
+        assert not {"Window", "Sort"} & set(single_task_steps(text))
+
+
+def test_single_task_steps_are_seen(spark):
+    assert "Window" in set(single_task_steps(plan(QUERIES["payment_funnel"](spark, SF))))
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_the_total_reads_the_groups_again_and_not_the_table(spark):
+    shared = share_of_total(table(spark, SF, "lineitem"), "l_returnflag")
+    assert final_plan(shared).count("FileScan") <= 1 + final_plan(shared).count("ReusedExchange")
 
 
 def test_deduplication_shrinks_before_the_shuffle(spark):

@@ -25,10 +25,10 @@ def pivot_first(
 def share_of_total(df: DataFrame, key: str, count: str = "n", share: str = "pct") -> DataFrame:
     """Rows per group and their percentage of all rows.
 
-    The grand total is a scalar subquery over the same input.
+    The grand total adds up the grouped counts; both read the same shuffle.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias(count))
+    total = counted.agg(F.sum(count)).scalar()
     return counted.withColumn(share, ratio(F.col(count), total, 100))
 
 

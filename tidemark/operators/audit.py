@@ -22,13 +22,17 @@ def _layer(model: Column) -> Column:
 
 
 def processing_log(
-    results: DataFrame, row_counts: DataFrame, run_id: str, logged_at: Column
+    results: DataFrame,
+    row_counts: DataFrame,
+    run_id: str,
+    logged_at: Column,
+    message_width: int | None = None,
 ) -> DataFrame:
     """One audit row per model of a run.
 
     ``results`` has one row per result (see ``read_run_results``), ``row_counts``
     the columns ``model`` and ``rows_processed``.  Nodes that are not models are left
-    out; the error text keeps 2,000 characters, the width of the log column.
+    out.  The error text is kept whole unless the log column has a ``message_width``.
     """
     model = F.substring_index("unique_id", ".", -1)
     table = F.col("dbt_model")
@@ -38,6 +42,9 @@ def processing_log(
         F.filter("timing", lambda t: t["name"] == F.lit("execute")), F.lit(-1)
     )
     failed = F.col("status").isin("error", "fail")
+    message = F.coalesce("message", F.lit(""))
+    if message_width is not None:
+        message = F.substring(message, 1, message_width)
     return (
         results.filter(F.col("unique_id").startswith("model."))
         .withColumn("dbt_model", model)
@@ -55,9 +62,7 @@ def processing_log(
             F.round(F.coalesce("execution_time", F.lit(0.0)), 3)
             .cast("decimal(10,3)")
             .alias("duration_seconds"),
-            F.when(failed, F.substring(F.coalesce("message", F.lit("")), 1, 2000)).alias(
-                "error_message"
-            ),
+            F.when(failed, message).alias("error_message"),
             F.lit("sensor").alias("triggered_by"),
             logged_at.alias("logged_at"),
         )

@@ -7,6 +7,7 @@ Everything is joined by table name, so the work grows with the number of subject
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,28 +66,51 @@ def model_contracts(models: DataFrame, contracts: DataFrame, fallback: DataFrame
     )
 
 
-def contract_for(model_name: str, contracts: DataFrame | None = None) -> Contract:
-    """Contract of one model, looked up while the plan is built.
+def _table_name(model_name: str) -> str:
+    for prefix in ("bronze_", "silver_", "gold_"):
+        model_name = model_name.replace(prefix, "")
+    return model_name
+
 
-    Reads at most one row: the active contract of that table.  Falls back to the
-    built-in domain, then to the defaults with a warning.
+def contracts_of(
+    model_names: Sequence[str], contracts: DataFrame | None = None
+) -> dict[str, Contract]:
+    """Contract of each model, in one read of the stored contracts.
+
+    Two active contracts for one table are an error.  Tables without a stored contract
+    take the built-in domain's, others the defaults with a warning.
     """
-    name = model_name
-    for prefix in ("bronze_", "silver_", "gold_"):
-        name = name.replace(prefix, "")
+    tables = {model: _table_name(model) for model in model_names}
+    stored: dict[str, Contract] = {}
     if contracts is not None:
         rows = (
-            contracts.filter(F.col("active") & (F.col("table_name") == name))
-            .select(*FIELDS)
-            .limit(1)
+            contracts.filter(F.col("active") & F.col("table_name").isin(*set(tables.values())))
+            .groupBy("table_name")  # at most one row per model asked for
+            .agg(F.count(F.lit(1)).alias("n"), *[F.min(f).alias(f) for f in FIELDS])
             .collect()
         )
-        if rows:
-            return Contract(rows[0]["table_type"], rows[0]["cdc_strategy"], rows[0]["unique_key"])
-    if name in DOMAINS:
-        return DOMAINS[name].contract
-    log.warning("no contract for %s, using defaults", name)
-    return Contract(**DOC_DEFAULTS)
+        several = sorted(row["table_name"] for row in rows if row["n"] > 1)
+        if several:
+            raise ValueError(f"several active contracts for {', '.join(several)}")
+        stored = {
+            row["table_name"]: Contract(row["table_type"], row["cdc_strategy"], row["unique_key"])
+            for row in rows
+        }
+    found = {}
+    for model, name in tables.items():
+        if name in stored:
+            found[model] = stored[name]
+        elif name in DOMAINS:
+            found[model] = DOMAINS[name].contract
+        else:
+            log.warning("no contract for %s, using defaults", name)
+            found[model] = Contract(**DOC_DEFAULTS)
+    return found
+
+
+def contract_for(model_name: str, contracts: DataFrame | None = None) -> Contract:
+    """Contract of one model, looked up while the plan is built."""
+    return contracts_of([model_name], contracts)[model_name]
 
 
 # ------------------------------------------------------------------------ sync
@@ -214,15 +238,18 @@ def check_contract_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
     Comparison ignores case and treats NULL as a value.
     """
-    names = {"table_type": "tipo", "cdc_strategy": "estrategia", "unique_key": "chave"}
     wanted = expected.select(
         F.lower("table_name").alias("table_name"),
-        *[F.lower(f).alias(f"{n}_esperad{'o' if n == 'tipo' else 'a'}") for f, n in names.items()],
+        F.lower("table_type").alias("tipo_esperado"),
+        F.lower("cdc_strategy").alias("estrategia_esperada"),
+        F.lower("unique_key").alias("chave_esperada"),
         F.lit(True).alias("_wanted"),
     )
     found = actual.filter("active").select(
         F.lower("table_name").alias("table_name"),
-        *[F.lower(f).alias(f"{n}_atual") for f, n in names.items()],
+        F.lower("table_type").alias("tipo_atual"),
+        F.lower("cdc_strategy").alias("estrategia_atual"),
+        F.lower("unique_key").alias("chave_atual"),
         F.lit(True).alias("_found"),
     )
     same = (
@@ -231,16 +258,13 @@ def check_contract_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
         & F.col("chave_esperada").eqNullSafe(F.col("chave_atual"))
     )
     reason = (
-        F.when(F.col("_found").isNull(), "missing from CONFIG.TABLE_METADATA")
-        .when(F.col("_wanted").isNull(), "present in the table and not expected by this commit")
-        .when(~same, "divergent configuration")
+        F.when(F.col("_found").isNull(), "lacking")
+        .when(F.col("_wanted").isNull(), "unasked")
+        .when(~same, "differs")
     )
     return (
         wanted.join(found, "table_name", "full")
         .withColumn("motivo", reason)
         .filter(F.col("motivo").isNotNull())
-        .select(
-            "table_name", "tipo_esperado", "tipo_atual", "estrategia_esperada",
-            "estrategia_atual", "chave_esperada", "chave_atual", "motivo",
-        )
+        .drop("_wanted", "_found")
     )

@@ -62,8 +62,15 @@ def bridge_aggregate(
     ``fact`` holds one row per ``fact_key``, so the join meets pre-aggregated rows
     only.  The bridge is not reduced to one id per group: every id of a person counts.
     """
+    return sum_over_pairs(fact, bridge_pairs(bridge, fact_key, group_key), fact_key, group_key, sums)
+
+
+def sum_over_pairs(
+    fact: DataFrame, pairs: DataFrame, fact_key: str, group_key: str, sums: Sequence[str]
+) -> DataFrame:
+    """:func:`bridge_aggregate` over the distinct pairs of the bridge."""
     return (
-        fact.join(bridge_pairs(bridge, fact_key, group_key), fact_key)
+        fact.join(pairs, fact_key)
         .groupBy(group_key)
         .agg(*[F.sum(name).alias(name) for name in sums])
     )

@@ -10,19 +10,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import TRACE_COLUMNS
 from tidemark.operators.bronze import dedup_latest
 
 
-def sync_columns(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """``target`` with exactly the columns of ``incoming``.
+def sync_columns(target: DataFrame, incoming: DataFrame | StructType) -> DataFrame:
+    """``target`` with exactly the columns of ``incoming``, a frame or a schema.
 
     New columns arrive as NULL, vanished ones are dropped.  A column that changes its
     type is an error: a silent cast could lose data.
     """
     old = {field.name: field.dataType for field in target.schema}
-    for field in incoming.schema:
+    wanted = incoming.schema if isinstance(incoming, DataFrame) else incoming
+    for field in wanted:
         if field.name in old and old[field.name] != field.dataType:
             raise ValueError(
                 f"column {field.name} changes type from "
@@ -33,7 +35,7 @@ def sync_columns(target: DataFrame, incoming: DataFrame) -> DataFrame:
             F.col(f"`{field.name}`")
             if field.name in old
             else F.lit(None).cast(field.dataType).alias(field.name)
-            for field in incoming.schema
+            for field in wanted
         ]
     )
 

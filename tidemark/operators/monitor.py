@@ -16,6 +16,7 @@ from tidemark.functions import epoch_ms
 # Lag above this is an alert, freshness beyond this is a breach.
 LAG_LIMIT = 10_000
 LAG_TIERS = (1_000, 10_000)
+FRESHNESS_WARN_SECONDS = 300
 FRESHNESS_SECONDS = 900
 
 
@@ -158,15 +159,23 @@ def top_topics(volumes: DataFrame, measure: str, k: int = 5) -> DataFrame:
 
 
 # ------------------------------------------------------------------ lag, delay
-def offset_lag(landed: DataFrame, consumed: DataFrame) -> DataFrame:
-    """Messages not yet consumed per topic and partition, with a severity tier."""
+def offset_lag(landed: DataFrame, consumed: DataFrame | Column) -> DataFrame:
+    """Messages not yet consumed per topic and partition, with a severity tier.
+
+    ``consumed`` is a second feed, or a condition that tells the consumed rows of
+    ``landed``, which is then read once.
+    """
     place = ["topic", "kafka_partition"]
-    end = landed.groupBy(*place).agg(F.max("kafka_offset").alias("end_offset"))
-    done = consumed.groupBy(*place).agg(F.max("kafka_offset").alias("done_offset"))
+    end = F.max("kafka_offset").alias("end_offset")
+    if isinstance(consumed, Column):
+        done = F.max(F.when(consumed, F.col("kafka_offset"))).alias("done_offset")
+        both = landed.groupBy(*place).agg(end, done)
+    else:
+        done = consumed.groupBy(*place).agg(F.max("kafka_offset").alias("done_offset"))
+        both = landed.groupBy(*place).agg(end).join(done, place, "left")
     low, high = LAG_TIERS
     return (
-        end.join(done, place, "left")
-        .withColumn("lag", F.col("end_offset") - F.coalesce("done_offset", F.lit(-1)))
+        both.withColumn("lag", F.col("end_offset") - F.coalesce("done_offset", F.lit(-1)))
         .withColumn(
             "tier",
             F.when(F.col("lag") >= high, "red").when(F.col("lag") >= low, "yellow").otherwise("green"),
@@ -193,6 +202,58 @@ def freshness_breach(
     )
 
 
+def freshness_status(
+    landing: DataFrame,
+    domain: str,
+    now_ms: Column,
+    expected: DataFrame,
+    warn_seconds: int = FRESHNESS_WARN_SECONDS,
+    error_seconds: int = FRESHNESS_SECONDS,
+) -> DataFrame:
+    """``pass``, ``warn`` or ``error`` for every domain of ``expected``.
+
+    A domain that never landed anything has no age and is an error.
+    """
+    age = (now_ms - F.col("last_ms")) / F.lit(1000.0)
+    last = landing.groupBy(F.col(domain).alias("domain")).agg(F.max("kafka_created_at").alias("last_ms"))
+    fresh = F.col("age_seconds")
+    return (
+        expected.select("domain")
+        .distinct()
+        .join(last, "domain", "left")
+        .withColumn("age_seconds", age)
+        .withColumn(
+            "status",
+            F.when(fresh.isNull() | (fresh > error_seconds), "error")
+            .when(fresh > warn_seconds, "warn")
+            .otherwise("pass"),
+        )
+    )
+
+
+def firing(samples: DataFrame, now: Column, hold_seconds: int, group: str = "topic") -> DataFrame:
+    """Groups in breach at ``now`` without a break for ``hold_seconds``, and since when.
+
+    ``samples`` has the group, ``sampled_at`` and a boolean ``breach``.  A breach begins
+    with the first such sample after the last one that was in order.
+    """
+    past = samples.filter(F.col("sampled_at") <= now)
+    calm = past.filter(~F.col("breach")).groupBy(group).agg(F.max("sampled_at").alias("_calm"))
+    return (
+        past.filter("breach")
+        .join(calm, group, "left")
+        .filter(F.col("_calm").isNull() | (F.col("sampled_at") > F.col("_calm")))
+        .groupBy(group)
+        .agg(F.min("sampled_at").alias("since"), F.count(F.lit(1)).alias("samples"))
+        .filter(_seconds(now) - _seconds(F.col("since")) >= hold_seconds)
+    )
+
+
+def select_topics(df: DataFrame, pattern: str, topic: str = "topic") -> DataFrame:
+    """Rows whose whole topic name matches a regular expression."""
+    return df.filter(F.col(topic).rlike(f"^(?:{pattern})$"))
+
+
 def silent_pipeline(activity: DataFrame, runs: DataFrame, width: str = "15 minutes") -> DataFrame:
     """Windows with traffic in which no run started."""
     busy = (

@@ -83,12 +83,12 @@ def reconcile(
         F.lit(True).alias("_reported"),
     )
     reason = (
-        F.when(F.col("_reported").isNull(), "pagamento ausente na Gold")
-        .when(F.col("eventos_silver").isNull(), "pagamento fantasma na Gold")
-        .when(~F.col("eventos_silver").eqNullSafe(F.col("eventos_gold")), "contagem divergente")
+        F.when(F.col("_reported").isNull(), "lacking")
+        .when(F.col("eventos_silver").isNull(), "unfounded")
+        .when(~F.col("eventos_silver").eqNullSafe(F.col("eventos_gold")), "count")
         .when(
             ~F.col("ultimo_ms_silver").eqNullSafe(F.col("ultimo_ms_gold")),
-            "watermark divergente",
+            "newest",
         )
     )
     return (
@@ -102,21 +102,33 @@ def reconcile(
 def check_backlog(pairs: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
     """Domains whose distinct landed keys differ from their Bronze rows.
 
-    ``pairs`` maps a name to ``(landing, bronze, key)``.  Keys are reduced to distinct
-    values first and counted second, in separate steps.
+    ``pairs`` maps a name to ``(landing, bronze, key)``.  The keys of all domains become
+    distinct in one step and are counted per domain in the next.
     """
-    counts = []
-    for name, (landing, bronze, key) in pairs.items():
-        landed = present(landing.select(F.col(key).alias("_key")), "_key").distinct()
-        counts.append(
-            landed.agg(F.count(F.lit(1)).alias("chaves_no_landing")).select(
-                F.lit(name).alias("dominio"),
-                "chaves_no_landing",
-                bronze.agg(F.count(F.lit(1))).scalar().alias("linhas_no_modelo"),
+    keys = union_by_name(
+        [
+            present(landing.select(F.col(key).cast("string").alias("_key")), "_key").select(
+                F.lit(name).alias("dominio"), "_key"
             )
-        )
+            for name, (landing, _, key) in pairs.items()
+        ]
+    )
+    rows = union_by_name(
+        [
+            bronze.agg(F.count(F.lit(1)).alias("linhas_no_modelo")).select(
+                F.lit(name).alias("dominio"), "linhas_no_modelo"
+            )
+            for name, (_, bronze, _) in pairs.items()
+        ]
+    )
+    landed = keys.distinct().groupBy("dominio").agg(F.count(F.lit(1)).alias("chaves_no_landing"))
+    joined = rows.join(landed, "dominio", "left").select(
+        "dominio",
+        F.coalesce("chaves_no_landing", F.lit(0).cast("bigint")).alias("chaves_no_landing"),
+        "linhas_no_modelo",
+    )
     backlog = F.col("chaves_no_landing") - F.col("linhas_no_modelo")
-    return union_by_name(counts).withColumn("backlog", backlog).filter("backlog <> 0")
+    return joined.withColumn("backlog", backlog).filter("backlog <> 0")
 
 
 # ------------------------------------------------------------------- summaries

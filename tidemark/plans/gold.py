@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import amount, average, cents, ratio, seconds_between
 from tidemark.operators.aggregates import change_reason
-from tidemark.operators.bronze import present
 from tidemark.operators.joins import (
-    bridge_aggregate,
+    SALTS,
     bridge_pairs,
     dedup_dimension,
     left_join_flag,
+    sum_over_pairs,
     united_distinct,
 )
 
@@ -305,13 +305,14 @@ def user_behavior(
     orders: DataFrame,
     searches: DataFrame,
     recommendations: DataFrame,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Orders, searches and recommendation activity per person.
 
     Orders join on the tax number, searches and recommendations on the numeric id.
     The id bridge keeps every id of a person; the two profile registries are reduced
     to one row per tax number.  Searches and recommendations shrink to one row per
-    id before they cross the bridge.
+    id before they cross the bridge; a hot id's terms are dealt over ``salts`` parts.
     """
     zero = F.lit(0).cast("bigint")
     profile = dedup_dimension(profiles, "cpf").select(
@@ -335,16 +336,19 @@ def user_behavior(
 
     # One row per id.  The three parts are grouped by the same id, so putting them side
     # by side and sending them over the bridge costs one shuffle, not three.
-    searched = searches.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+    # Searches are read once: first per id and term, then per id.
+    per_term = searches.filter(F.col("user_id").isNotNull()).groupBy("user_id", "query_text").agg(
         F.count(F.lit(1)).alias("_searches"),
         F.sum(F.col("result_count").cast("bigint")).alias("_results"),
         F.count("result_count").alias("_counted"),
         F.count("clicked_product_id").alias("_clicked"),
     )
-    values = present(
-        searches.select("user_id", "query_text"), ["user_id", "query_text"]
-    ).distinct()
-    searched_terms = values.groupBy("user_id").agg(F.count(F.lit(1)).alias("_id_terms"))
+    measured = ("_searches", "_results", "_counted", "_clicked")
+    searched = per_term.groupBy("user_id").agg(
+        *[F.sum(name).alias(name) for name in measured],
+        F.nullif(F.count("query_text"), F.lit(0)).alias("_id_terms"),
+    )
+    values = per_term.filter(F.col("query_text").isNotNull()).select("user_id", "query_text")
     kind = F.col("event_type")
     viewed = recommendations.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("_recs"),
@@ -353,13 +357,13 @@ def user_behavior(
         F.count_if(kind == "click").alias("_rec_clicks"),
         F.count_if(kind == "add_to_cart").alias("_carted"),
     )
-    per_id = searched.join(searched_terms, "user_id", "left").join(viewed, "user_id", "full")
+    per_id = searched.join(viewed, "user_id", "full")
 
     pairs = bridge_pairs(profiles, "user_id", "cpf")
     measures = [name for name in per_id.columns if name != "user_id"]
-    active = bridge_aggregate(per_id, profiles, "user_id", "cpf", measures)
+    active = sum_over_pairs(per_id, pairs, "user_id", "cpf", measures)
     # Terms of a person with several ids overlap: their union replaces the sum.
-    united = united_distinct(values, pairs, "user_id", "cpf", "query_text", "_united")
+    united = united_distinct(values, pairs, "user_id", "cpf", "query_text", "_united", salts)
 
     joined = left_join_flag(profile, more, "cpf", "sem_perfil_estendido")
     for part in (bought, active, united):

@@ -21,7 +21,7 @@ from pyspark.util import inheritable_thread_target
 
 from tidemark.operators.audit import layer_row_counts, processing_log
 from tidemark.operators.bronze import normalise
-from tidemark.operators.contracts import contract_for
+from tidemark.operators.contracts import contracts_of
 from tidemark.operators.quality import quality_summary
 from tidemark.operators.resolve import resolve_cdc
 from tidemark.plans import gold
@@ -63,6 +63,7 @@ class Medallion:
     materialise_silver: bool = False
     domains: tuple[str, ...] = tuple(DOMAINS)
     results: list[tuple] = field(default_factory=list)
+    known: dict[str, Contract] = field(default_factory=dict)
 
     def bronze_table(self, name: str) -> Snapshot:
         return Snapshot(self.spark, f"{self.root}/bronze/{name}", DOMAINS[name].key, self.buckets)
@@ -80,9 +81,15 @@ class Medallion:
         """Merge a landing batch; the newest version per key stays, deletes included."""
         self.bronze_table(name).merge(normalise(batch, DOMAINS[name]))
 
+    def read_contracts(self) -> None:
+        """Read the contracts of all domains, once for a run."""
+        self.known = contracts_of([f"silver_{name}" for name in self.domains], self.contracts)
+
     def _contract(self, name: str) -> tuple[Contract, bool]:
         """Contract of a domain, and whether Bronze alone can answer it."""
-        contract = contract_for(f"silver_{name}", self.contracts)
+        if not self.known:
+            self.read_contracts()
+        contract = self.known[f"silver_{name}"]
         latest = contract.cdc_strategy == "upsert" and contract.unique_key == DOMAINS[name].key
         return contract, latest
 
@@ -122,6 +129,7 @@ class Medallion:
     def run(self, batches: Mapping[str, DataFrame], landing: Mapping[str, DataFrame]) -> None:
         """Build all layers from the new ``batches`` and the whole ``landing`` history."""
         self.results = []
+        self.read_contracts()
         self._together(
             [
                 {

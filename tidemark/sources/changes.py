@@ -81,16 +81,71 @@ def write_routed(df: DataFrame, root: str) -> None:
     df.write.mode("append").partitionBy("table_name").parquet(root)
 
 
+#: JSON text of the fields a contract does not know; NULL if there are none.
+EXTRA = "_EXTRA"
+
+
 def type_landing(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Upper-case names and contract types; columns the row lacks become NULL."""
+    """Upper-case names and contract types; columns the row lacks become NULL.
+
+    Columns the contract does not know are kept, as JSON text in ``_EXTRA``.
+    """
     present = {identifier(name): name for name in df.columns}
+    known = {*schema.names, EXTRA}
+    more = [F.col(f"`{name}`") for upper, name in present.items() if upper not in known]
+    if EXTRA in present:
+        extra = F.col(f"`{present[EXTRA]}`")
+    else:
+        extra = F.nullif(F.to_json(F.struct(*more)), F.lit("{}")) if more else F.lit(None)
     return df.select(
         *[
             F.col(f"`{present[field.name]}`").cast(field.dataType).alias(field.name)
             if field.name in present
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in schema
-        ]
+        ],
+        extra.cast("string").alias(EXTRA),
+    )
+
+
+#: Value of a message: the images are parsed in a second step, by the domain's contract.
+_VALUE = "before string, after string, op string, source struct<ts_ms:long>"
+_STAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def land_domain(feed: DataFrame, spec: DomainSpec) -> DataFrame:
+    """Typed landing rows of one domain from a mixed feed of JSON envelopes.
+
+    ``feed`` has ``topic``, ``value`` (JSON text; NULL is a tombstone) and the position
+    columns.  A delete keeps its key from the image before; fields the contract does not
+    know are kept in ``_EXTRA``.
+    """
+    fields = spec.source_schema
+    own = feed.filter(F.col("topic") == spec.topic).withColumn("_v", F.from_json("value", _VALUE))
+    parsed = own.select(
+        "*",
+        F.from_json("_v.after", fields, _STAMPS).alias("_new"),
+        F.from_json("_v.before", fields, _STAMPS).alias("_old"),
+        F.map_filter(
+            F.from_json("_v.after", "map<string,string>"), lambda k, v: ~k.isin(fields.names)
+        ).alias("_more"),
+    )
+    typed = [
+        F.coalesce(F.col(f"_new.{f.name}"), F.col(f"_old.{f.name}"))
+        if f.name == spec.key
+        else F.col(f"_new.{f.name}")
+        for f in fields
+    ]
+    return parsed.select(
+        *[column.alias(identifier(f.name)) for column, f in zip(typed, fields)],
+        F.col("_v.op").alias("__OP"),
+        F.col("_v.source.ts_ms").alias("__SOURCE_TS_MS"),
+        F.struct(
+            F.col("kafka_offset").alias("offset"),
+            F.col("kafka_partition").alias("partition"),
+            F.col("kafka_created_at").alias("CreateTime"),
+        ).alias("RECORD_METADATA"),
+        F.when(F.size("_more") > 0, F.to_json("_more")).alias(EXTRA),
     )
 
 
@@ -99,13 +154,15 @@ def land(df: DataFrame, path: str, spec: DomainSpec) -> None:
     type_landing(df, spec.landing_schema).write.mode("append").parquet(path)
 
 
-def dedup_redelivery(df: DataFrame, delay: str = "1 hour", arrived: str = "arrived_at") -> DataFrame:
-    """Drop messages that were delivered more than once.
+#: What names a message.
+MESSAGE = ("topic", "kafka_partition", "kafka_offset")
+
+
+def dedup_redelivery(df: DataFrame) -> DataFrame:
+    """Drop messages of a batch that were delivered more than once.
 
-    A message is its topic, partition and offset.  On a stream the state covers
-    ``delay`` after the newest arrival; later copies are resolved by version anyway.
+    A message is its topic, partition and offset.  A live feed uses
+    :func:`tidemark.streaming.landing.run_dedup`, which forgets no message and waits
+    for none.
     """
-    message = [c for c in ("topic", "kafka_partition", "kafka_offset") if c in df.columns]
-    if df.isStreaming:
-        return df.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(message)
-    return df.dropDuplicates(message)
+    return df.dropDuplicates([c for c in MESSAGE if c in df.columns])

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import digits_modulo
 from tidemark.operators.bronze import dedup_latest
 from tidemark.operators.merge import union_by_name
+from tidemark.sources.tables import Snapshot
 from tidemark.spec import DOMAINS, DomainSpec
 
 BATCHES = ("initial", "incremental", "all")
@@ -16,50 +19,61 @@ _INITIAL_SHARE = 0.8
 _BY_PREFIX = {spec.export_prefix: spec for spec in DOMAINS.values()}
 
 
-def export_domain(file_name: str) -> str | None:
+def export_domain(name: Column) -> Column:
     """Domain of an export file from the first two ``_`` parts of its name."""
-    spec = _BY_PREFIX.get("_".join(file_name.split("_")[:2]))
-    return spec.name if spec else None
+    prefix = F.substring_index(name, "_", 2)
+    known = F.create_map(*[F.lit(x) for p, s in _BY_PREFIX.items() for x in (p, s.name)])
+    return known[prefix]
 
 
 def select_files(
     spark: SparkSession, directory: str, batch: str = "all", domain: str | None = None
-) -> list[str]:
-    """Paths of the recognised export files of a batch, ordered by name.
+) -> DataFrame:
+    """``file`` and ``domain`` of the recognised export files of a batch.
 
-    ``initial`` is the first 80 percent (rounded down), ``incremental`` the rest.  Only
-    names are listed, which is the list Spark itself keeps of any directory it reads.
+    ``initial`` is the first 80 percent by name (rounded down), ``incremental`` the rest.
+    Names are ranked by counting, for each first part of the name, what comes before it.
     """
     if batch not in BATCHES:
         raise ValueError(f"unknown batch {batch!r}; expected one of {', '.join(BATCHES)}")
-    listing = (
+    named = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.[jJ][sS][oO][nN]")
         .load(directory)
-        .select("path")
+        .select(F.substring_index("path", "/", -1).alias("file"))
+        .withColumn("domain", export_domain(F.col("file")))
+        .filter("domain IS NOT NULL")
     )
-    paths = [row["path"] for row in listing.collect()]
-    named = sorted((path.rsplit("/", 1)[-1], path) for path in paths)
-    known = [(n, p) for n, p in named if export_domain(n) and domain in (None, export_domain(n))]
-    cut = int(len(known) * _INITIAL_SHARE)
-    chosen = {"initial": known[:cut], "incremental": known[cut:], "all": known}[batch]
-    return [path for _, path in chosen]
-
-
-def read_exports(spark: SparkSession, paths: list[str], spec: DomainSpec) -> DataFrame:
-    """Rows of a domain's files with their position; ``_bad`` marks unusable lines.
+    if domain is not None:
+        named = named.filter(F.col("domain") == domain)
+    if batch == "all":
+        return named
+    total = named.agg(F.count(F.lit(1))).scalar()
+    cut = F.floor(total * F.lit(_INITIAL_SHARE))
+    ranked = named.withColumn("_rank", F.row_number().over(Window.orderBy("file")))
+    first = F.col("_rank") <= cut
+    return ranked.filter(first if batch == "initial" else ~first).drop("_rank")
+
+
+def read_exports(
+    spark: SparkSession, directory: str, files: DataFrame, spec: DomainSpec
+) -> DataFrame:
+    """Rows of a domain's listed files with their position; ``_bad`` marks unusable lines.
 
-    Nested values of text columns keep their JSON text.
+    The files of the domain are read by their name's prefix and joined to the list by
+    name.  Nested values of text columns keep their JSON text.
     """
     fields = [
         T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.StringType) else f.dataType)
         for f in spec.source_schema
     ]
     schema = T.StructType([*fields, T.StructField("_corrupt", T.StringType())])
+    listed = files.filter(F.col("domain") == spec.name).select(F.col("file").alias("_file"))
     lines = (
         spark.read.schema(schema)
         .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(paths)
+        .option("pathGlobFilter", f"{spec.export_prefix}_*.[jJ][sS][oO][nN]")
+        .json(directory)
         .withColumns(
             {
                 "_file": F.col("_metadata.file_name"),
@@ -67,6 +81,7 @@ def read_exports(spark: SparkSession, paths: list[str], spec: DomainSpec) -> Dat
                 "_line": F.monotonically_increasing_id(),
             }
         )
+        .join(listed, "_file", "left_semi")
     )
     required = F.lit(True)
     for name in spec.required or (spec.key,):
@@ -112,10 +127,21 @@ def export_summary(
     )
 
 
+def upsert_exports(
+    spark: SparkSession,
+    directory: str,
+    targets: Mapping[str, Snapshot],
+    batch: str = "all",
+) -> None:
+    """Load a batch into one stored table per domain; loaded rows replace older ones."""
+    for name, rows in load_exports(spark, directory, batch).items():
+        if name in targets:
+            targets[name].merge(rows, order=())
+
+
 def _per_domain(
     spark: SparkSession, directory: str, batch: str, domain: str | None
 ) -> dict[str, DataFrame]:
-    grouped: dict[str, list[str]] = {}
-    for path in select_files(spark, directory, batch, domain):
-        grouped.setdefault(export_domain(path.rsplit("/", 1)[-1]), []).append(path)
-    return {name: read_exports(spark, paths, DOMAINS[name]) for name, paths in grouped.items()}
+    files = select_files(spark, directory, batch, domain)
+    present = [row["domain"] for row in files.select("domain").distinct().collect()]  # ten at most
+    return {name: read_exports(spark, directory, files, DOMAINS[name]) for name in sorted(present)}

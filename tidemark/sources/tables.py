@@ -27,19 +27,28 @@ from pyspark.sql import types as T
 
 from tidemark.functions import TRACE_COLUMNS
 from tidemark.operators.bronze import dedup_latest
-from tidemark.operators.merge import remove_keys, sync_columns
+from tidemark.operators.merge import remove_keys, sync_columns, union_by_name
 
 #: A bucket number is a position in one bitmap aggregate.
 MAX_BUCKETS = 32_768
 
-_LOG = "version long, bucket int, filled boolean, reset boolean, schema string"
+_LOG = (
+    "version long, bucket int, filled boolean, reset boolean, schema string, "
+    "buckets int, key string, layout string"
+)
+
+#: Touched buckets up to which each gets a task number of its own.
+_FEW = 256
+#: Field metadata: the version since which a column has always been there.
+_SINCE = "since"
 
 
 class Snapshot:
     """One keyed table at ``path``.
 
     ``buckets`` bounds how much a merge has to rewrite; ``files_per_bucket`` is the
-    number of tasks, and files, one bucket is written with.
+    number of tasks, and files, one bucket is written with.  A table keeps the key and
+    the bucket count it was created with; opening it with others is an error.
     """
 
     def __init__(
@@ -61,7 +70,8 @@ class Snapshot:
     # ---------------------------------------------------------------- reading
     def _commits(self) -> list[Row]:
         """Newest committed state per bucket since the last full replacement."""
-        newest = F.max_by(F.struct("version", "filled", "schema"), "version")
+        state = F.struct("version", "filled", "schema", "buckets", "key", "layout")
+        newest = F.max_by(state, "version")
         replaced = F.max(F.when(F.col("reset"), F.col("version")))
         try:
             buckets = (
@@ -77,7 +87,21 @@ class Snapshot:
                 return []
             raise
         start = max(row["replaced"] or 0 for row in buckets)
-        return [row for row in buckets if row["version"] >= start]
+        commits = [row for row in buckets if row["version"] >= start]
+        last = max(commits, key=lambda row: row["version"])
+        if (last["buckets"], last["key"]) != (self.buckets, self.key):
+            raise ValueError(
+                f"the table at {self.path} has {last['buckets']} buckets and key {last['key']}, "
+                f"not {self.buckets} and {self.key}"
+            )
+        return commits
+
+    def _mergeable(self) -> list[Row]:
+        """Commits of a table whose rows lie in the bucket of their key."""
+        commits = self._commits()
+        if any(row["layout"] == "rows" for row in commits):
+            raise ValueError(f"the table at {self.path} was written without a key layout")
+        return commits
 
     def exists(self) -> bool:
         return bool(self._commits())
@@ -94,37 +118,72 @@ class Snapshot:
         return self._load(commits, commits)
 
     def _load(self, commits: list[Row], wanted: list[Row]) -> DataFrame:
-        """The wanted buckets in the newest schema: new columns NULL, vanished ones gone."""
-        newest = max(commits, key=lambda row: row["version"])
-        schema = T.StructType.fromJson(json.loads(newest["schema"]))
-        places = [
-            f"{self.path}/data/version={row['version']}/bucket={row['bucket']}"
-            for row in wanted
-            if row["filled"]
+        """The wanted buckets in the newest schema.
+
+        A column counts from the version in which it (last) came to the table: buckets
+        written before have it NULL, also if an older column had the same name.
+        """
+        schema = _schema(commits)
+        since = {f.name: f.metadata[_SINCE] for f in schema}
+        places: dict[tuple[str, ...], list[str]] = {}
+        for row in wanted:
+            if row["filled"]:
+                there = tuple(name for name in schema.names if since[name] <= row["version"])
+                place = f"{self.path}/data/version={row['version']}/bucket={row['bucket']}"
+                places.setdefault(there, []).append(place)
+        plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        parts = [
+            sync_columns(
+                self.spark.read.schema(T.StructType([plain[name] for name in there])).parquet(*paths),
+                plain,
+            )
+            for there, paths in places.items()
         ]
-        if not places:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*places)
+        return union_by_name(parts) if parts else self.spark.createDataFrame([], plain)
 
     # ---------------------------------------------------------------- writing
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _spread(self, df: DataFrame, buckets: int) -> DataFrame:
-        """Bring the rows of a bucket together, in ``files_per_bucket`` parts."""
+    def _spread(self, df: DataFrame, touched: Sequence[int] | None = None) -> DataFrame:
+        """Bring the rows of a bucket together, in ``files_per_bucket`` tasks of its own."""
         part = F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.files_per_bucket)).cast("int")
         placed = df.withColumns({"bucket": self._bucket(), "_part": part})
-        return placed.repartition(max(1, buckets * self.files_per_bucket), "bucket", "_part")
+        place, places = F.col("bucket"), self.buckets
+        if touched is not None and len(touched) <= _FEW:
+            known = F.array(*(F.lit(bucket) for bucket in touched))
+            place, places = F.array_position(known, F.col("bucket")).cast("int") - 1, len(touched)
+        return placed.repartitionById(
+            max(1, places * self.files_per_bucket), place * self.files_per_bucket + F.col("_part")
+        )
 
-    def _write(self, placed: DataFrame, version: int, touched: Sequence[int] | None) -> None:
-        """Write rows that carry their ``bucket`` and commit them as ``version``.
+    def _write(
+        self,
+        placed: DataFrame,
+        commits: list[Row],
+        touched: Sequence[int] | None,
+        layout: str = "key",
+    ) -> None:
+        """Write rows that carry their ``bucket`` and commit them as the next version.
 
         ``touched=None`` replaces the table.  Which buckets received rows is observed
         while writing, so the commit needs no second look at the data.
         """
         rows = placed.drop("_part")
+        version = _newest(commits) + 1
+        before = {} if touched is None else {f.name: f for f in _schema(commits)}
         schema = T.StructType(
-            [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != "bucket"]
+            [
+                T.StructField(
+                    f.name,
+                    f.dataType,
+                    metadata={
+                        _SINCE: before[f.name].metadata[_SINCE] if f.name in before else version
+                    },
+                )
+                for f in rows.schema
+                if f.name != "bucket"
+            ]
         )
         seen = Observation()
         (
@@ -136,7 +195,16 @@ class Snapshot:
         filled = _bits(seen.get["filled"])
         # bucket -1 stands for the commit itself, so that an empty table exists too
         lines = [
-            (version, bucket, bucket in filled, touched is None, schema.json())
+            (
+                version,
+                bucket,
+                bucket in filled,
+                touched is None,
+                schema.json(),
+                self.buckets,
+                self.key,
+                layout,
+            )
             for bucket in sorted(filled | set(touched or ()) | {-1})
         ]
         commit = self.spark.createDataFrame(lines, _LOG).coalesce(1)
@@ -155,14 +223,14 @@ class Snapshot:
                    replaced and read, but not merged into.
         """
         if layout == "key":
-            placed = self._spread(df, self.buckets)
+            placed = self._spread(df)
         elif layout == "kept":
             placed = df.withColumn("bucket", self._bucket())
         elif layout == "rows":
             placed = df.withColumn("bucket", F.spark_partition_id() % self.buckets)
         else:
             raise ValueError(f"unknown layout {layout!r}; expected key, kept or rows")
-        self._write(placed, self.version() + 1, None)
+        self._write(placed, self._commits(), None, layout)
 
     def merge(self, updates: DataFrame, order: Sequence[str] = TRACE_COLUMNS) -> int:
         """Insert new keys, replace older versions; returns the number of buckets written.
@@ -173,9 +241,9 @@ class Snapshot:
         failure.  With an empty ``order`` incoming rows always win; they must be unique.
         """
         batch = dedup_latest(updates, self.key, order) if order else updates
-        commits = self._commits()
+        commits = self._mergeable()
         if not commits:
-            self._write(self._spread(batch, self.buckets), 1, None)
+            self._write(self._spread(batch), commits, None)
             return self.buckets
         # the keys before deduplication are the same and need one narrow scan only
         touched = self._touched(updates)
@@ -186,36 +254,43 @@ class Snapshot:
                 .unionByName(batch.withColumn("_incoming", F.lit(1)))
             )
             merged = dedup_latest(
-                self._spread(both, len(touched)),
+                self._spread(both, touched),
                 ["bucket", "_part", self.key],
                 [*order, "_incoming"],
             )
-            self._write(merged.drop("_incoming"), _newest(commits) + 1, touched)
+            self._write(merged.drop("_incoming"), commits, touched)
         return len(touched)
 
     def insert_missing(self, source: DataFrame) -> int:
-        """Add rows whose key is absent; returns the number of buckets written."""
-        commits = self._commits()
-        absent = source.dropDuplicates([self.key])
+        """Add rows whose key is absent; returns the number of buckets written.
+
+        Only the buckets of the source's keys are read; stored and new rows of a bucket
+        meet in one shuffle, where a stored row comes first.
+        """
+        commits = self._mergeable()
         if not commits:
-            self._write(self._spread(absent, self.buckets), 1, None)
+            self._write(self._spread(source.dropDuplicates([self.key])), commits, None)
             return self.buckets
-        known = self._load(commits, commits).select(self.key)
-        absent = absent.join(known, self.key, "left_anti")
-        touched = self._touched(absent)
+        touched = self._touched(source)
         if touched:
-            current = sync_columns(self._load_touched(commits, touched), absent)
-            grown = self._spread(current.unionByName(absent), len(touched))
-            self._write(grown, _newest(commits) + 1, touched)
+            both = (
+                sync_columns(self._load_touched(commits, touched), source)
+                .withColumn("_stored", F.lit(1))
+                .unionByName(source.withColumn("_stored", F.lit(0)))
+            )
+            grown = dedup_latest(
+                self._spread(both, touched), ["bucket", "_part", self.key], ["_stored"]
+            )
+            self._write(grown.drop("_stored"), commits, touched)
         return len(touched)
 
     def remove(self, keys: DataFrame) -> int:
         """Delete the listed keys; returns the number of buckets written."""
-        commits = self._commits()
+        commits = self._mergeable()
         touched = self._touched(keys) if commits else []
         if touched:
             left = remove_keys(self._load_touched(commits, touched), keys, self.key)
-            self._write(self._spread(left, len(touched)), _newest(commits) + 1, touched)
+            self._write(self._spread(left, touched), commits, touched)
         return len(touched)
 
     def _touched(self, rows: DataFrame) -> list[int]:
@@ -227,6 +302,12 @@ class Snapshot:
         return self._load(commits, [row for row in commits if row["bucket"] in wanted])
 
 
+def _schema(commits: list[Row]) -> T.StructType:
+    """The schema of the newest commit."""
+    newest = max(commits, key=lambda row: row["version"])
+    return T.StructType.fromJson(json.loads(newest["schema"]))
+
+
 def _newest(commits: list[Row]) -> int:
     return max((row["version"] for row in commits), default=0)
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import epoch_ms
+from tidemark.functions import epoch_ms, ms_to_ntz
 from tidemark.operators import audit, contracts, monitor, quality
+from tidemark.operators.bronze import bronze as bronze_of
 from tidemark.operators.resolve import resolve_cdc
 from tidemark.plans import gold
 from tidemark.plans.checks import layer_suite
@@ -211,19 +212,24 @@ QUERIES["check_contract_drift"] = lambda spark, sf: contracts.check_contract_dri
     ),
     stored_contracts(spark, sf),
 )
+_DRIFT_COLUMNS = (
+    "table_name, tipo_esperado, estrategia_esperada, chave_esperada, "
+    "tipo_atual, estrategia_atual, chave_atual"
+)
 ORACLES["check_contract_drift"] = f"""
-SELECT coalesce(e.table_name, a.table_name) AS table_name,
-  CASE WHEN e.table_name IS NOT NULL THEN 'entity' END AS tipo_esperado, a.table_type AS tipo_atual,
-  CASE WHEN e.table_name IS NOT NULL THEN 'upsert' END AS estrategia_esperada,
-  a.cdc_strategy AS estrategia_atual,
-  CASE WHEN e.table_name IS NOT NULL THEN 'uuid' END AS chave_esperada, a.unique_key AS chave_atual,
-  CASE WHEN a.table_name IS NULL THEN 'missing from CONFIG.TABLE_METADATA'
-    WHEN e.table_name IS NULL THEN 'present in the table and not expected by this commit'
-    ELSE 'divergent configuration' END AS motivo
-FROM ({_FALLBACK_SQL}) e
-FULL JOIN (SELECT * FROM ({_STORED_SQL}) c WHERE active) a ON a.table_name = e.table_name
-WHERE e.table_name IS NULL OR a.table_name IS NULL OR a.table_type <> 'entity'
-  OR a.cdc_strategy <> 'upsert' OR a.unique_key <> 'uuid'"""
+WITH wanted AS (SELECT table_name, 'entity' AS tipo, 'upsert' AS estrategia, 'uuid' AS chave
+  FROM ({_FALLBACK_SQL}) f),
+found AS (SELECT table_name, table_type AS tipo, cdc_strategy AS estrategia, unique_key AS chave
+  FROM ({_STORED_SQL}) c WHERE active),
+common AS (SELECT table_name FROM wanted INTERSECT SELECT table_name FROM found)
+SELECT {_DRIFT_COLUMNS}, 'lacking' AS motivo FROM (
+  SELECT table_name, tipo AS tipo_esperado, estrategia AS estrategia_esperada,
+    chave AS chave_esperada, NULL::VARCHAR AS tipo_atual, NULL::VARCHAR AS estrategia_atual,
+    NULL::VARCHAR AS chave_atual FROM wanted WHERE table_name NOT IN (FROM common)) a
+UNION ALL SELECT table_name, NULL, NULL, NULL, tipo, estrategia, chave, 'unasked'
+  FROM found WHERE table_name NOT IN (FROM common)
+UNION ALL SELECT table_name, w.tipo, w.estrategia, w.chave, f.tipo, f.estrategia, f.chave, 'differs'
+  FROM (SELECT * FROM wanted EXCEPT SELECT * FROM found) w JOIN found f USING (table_name)"""
 
 
 # --------------------------------------------------------------------- quality
@@ -276,35 +282,36 @@ earlier AS (SELECT * FROM ({history_sql('payment_events')}) h WHERE kafka_create
 s AS (SELECT payment_id, count(*) AS n, max(event_timestamp_ms) AS m FROM s_payment_events
   WHERE payment_id IS NOT NULL GROUP BY 1),
 g AS (SELECT payment_id, count(*) AS n, max(event_timestamp_ms) AS m FROM earlier
-  WHERE payment_id IS NOT NULL AND op IS DISTINCT FROM 'd' GROUP BY 1)
-SELECT coalesce(s.payment_id, g.payment_id) AS payment_id, s.n AS eventos_silver,
-  s.m AS ultimo_ms_silver, g.n AS eventos_gold, g.m AS ultimo_ms_gold,
-  CASE WHEN g.payment_id IS NULL THEN 'pagamento ausente na Gold'
-    WHEN s.payment_id IS NULL THEN 'pagamento fantasma na Gold'
-    WHEN s.n <> g.n THEN 'contagem divergente' ELSE 'watermark divergente' END AS motivo
-FROM s FULL JOIN g ON s.payment_id = g.payment_id
-WHERE s.n IS DISTINCT FROM g.n OR s.m IS DISTINCT FROM g.m"""
+  WHERE payment_id IS NOT NULL AND op IS DISTINCT FROM 'd' GROUP BY 1),
+differing AS (SELECT payment_id FROM (SELECT * FROM s EXCEPT SELECT * FROM g)
+  UNION SELECT payment_id FROM (SELECT * FROM g EXCEPT SELECT * FROM s))
+SELECT d.payment_id, (SELECT n FROM s WHERE s.payment_id = d.payment_id) AS eventos_silver,
+  (SELECT m FROM s WHERE s.payment_id = d.payment_id) AS ultimo_ms_silver,
+  (SELECT n FROM g WHERE g.payment_id = d.payment_id) AS eventos_gold,
+  (SELECT m FROM g WHERE g.payment_id = d.payment_id) AS ultimo_ms_gold,
+  CASE WHEN d.payment_id NOT IN (SELECT payment_id FROM g) THEN 'lacking'
+    WHEN d.payment_id NOT IN (SELECT payment_id FROM s) THEN 'unfounded'
+    WHEN d.payment_id NOT IN (SELECT s.payment_id FROM s JOIN g USING (payment_id, n)) THEN 'count'
+    ELSE 'newest' END AS motivo
+FROM differing d"""
 
 
 def check_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All landed keys against a Bronze that lacks the keys whose last change is a delete."""
-    return quality.check_backlog(
-        {
-            f"bronze_{name}": (
-                landing(spark, sf_dir, name),
-                silver(spark, sf_dir, name),
-                spec.key.upper(),
-            )
-            for name, spec in DOMAINS.items()
-        }
-    )
+    """All landed keys against a Bronze that lacks the later arrivals."""
+    pairs = {}
+    for name, spec in DOMAINS.items():
+        landed = landing(spark, sf_dir, name)
+        built = bronze_of(landed.filter(F.col("RECORD_METADATA.CreateTime") < _SPLIT_MS), spec)
+        pairs[f"bronze_{name}"] = (landed, built, spec.key.upper())
+    return quality.check_backlog(pairs)
 
 
 QUERIES["check_backlog"] = check_backlog
 ORACLES["check_backlog"] = " UNION ALL ".join(
     f"SELECT 'bronze_{d}' AS dominio, l AS chaves_no_landing, b AS linhas_no_modelo, l - b AS backlog "
-    f"FROM (SELECT (SELECT count(DISTINCT {DOMAINS[d].key}) FROM ({landing_sql(d)}) x) AS l, "
-    f"(SELECT count(*) FROM ({silver_sql(d)}) y) AS b) z WHERE l <> b"
+    f"FROM (SELECT count(DISTINCT {DOMAINS[d].key}) AS l, "
+    f"count(DISTINCT {DOMAINS[d].key}) FILTER (kafka_created_at < {_SPLIT_MS}) AS b "
+    f"FROM ({landing_sql(d)}) x) z WHERE l <> b"
     for d in DOMAINS
 )
 
@@ -404,26 +411,27 @@ ORACLES["consume_pending"] = (
 )
 
 
-def _totals(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
-    """Message counter per user at the end of a day, reset at midnight."""
-    return (
-        table(spark, sf_dir, "events")
-        .filter(F.to_date("ts") == F.lit(day).cast("date"))
-        .groupBy(F.concat(F.lit("user-"), "user_id").alias("topic"))
-        .agg(F.count(F.lit(1)).cast("double").alias("value"))
+_COUNTED = "2024-01-16"
+
+
+def _totals(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    """Running message counter per user, at the start of a day or after all events."""
+    events = table(spark, sf_dir, "events")
+    if until is not None:
+        events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+    return events.groupBy(F.concat(F.lit("user-"), "user_id").alias("topic")).agg(
+        F.count(F.lit(1)).cast("double").alias("value")
     )
 
 
 QUERIES["counter_changes"] = lambda spark, sf: monitor.counter_changes(
-    _totals(spark, sf, "2024-01-10"), _totals(spark, sf, "2024-01-11")
+    _totals(spark, sf, _COUNTED), _totals(spark, sf)
 )
-ORACLES["counter_changes"] = """
+ORACLES["counter_changes"] = f"""
 SELECT 'user-' || user_id AS topic,
-  CAST(count(*) FILTER (CAST(ts AS DATE) = DATE '2024-01-10') AS DOUBLE) AS previous,
-  CAST(count(*) FILTER (CAST(ts AS DATE) = DATE '2024-01-11') AS DOUBLE) AS current
-FROM events GROUP BY user_id
-HAVING count(*) FILTER (CAST(ts AS DATE) = DATE '2024-01-10')
-    <> count(*) FILTER (CAST(ts AS DATE) = DATE '2024-01-11')"""
+  CAST(count(*) FILTER (ts < TIMESTAMP '{_COUNTED}') AS DOUBLE) AS previous,
+  CAST(count(*) AS DOUBLE) AS current
+FROM events GROUP BY user_id HAVING count(*) FILTER (ts >= TIMESTAMP '{_COUNTED}') > 0"""
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,23 +469,19 @@ ORACLES["top_topics"] = (
 
 _READ_UNTIL = 1705363200000
 QUERIES["offset_lag"] = lambda spark, sf: monitor.offset_lag(
-    mixed_feed(spark, sf),
-    mixed_feed(spark, sf).filter(F.col("kafka_created_at") < _READ_UNTIL),
-).drop("tier").withColumn("lag", F.col("lag").cast("bigint"))
+    mixed_feed(spark, sf), F.col("kafka_created_at") < _READ_UNTIL
+).withColumn("lag", F.col("lag").cast("bigint"))
 ORACLES["offset_lag"] = f"""
-SELECT topic, kafka_partition, max(kafka_offset) AS end_offset,
-  max(kafka_offset) FILTER (kafka_created_at < {_READ_UNTIL}) AS done_offset,
-  CAST(max(kafka_offset) - coalesce(max(kafka_offset) FILTER (kafka_created_at < {_READ_UNTIL}), -1)
-    AS BIGINT) AS lag,
-  max(kafka_offset) - coalesce(max(kafka_offset) FILTER (kafka_created_at < {_READ_UNTIL}), -1)
-    > 10000 AS breach
-FROM ({MIXED_FEED_SQL}) f GROUP BY 1, 2"""
+SELECT *, CASE WHEN lag >= 10000 THEN 'red' WHEN lag >= 1000 THEN 'yellow' ELSE 'green' END AS tier,
+  lag > 10000 AS breach
+FROM (SELECT topic, kafka_partition, end_offset, done_offset,
+    CAST(end_offset - coalesce(done_offset, -1) AS BIGINT) AS lag
+  FROM (SELECT topic, kafka_partition, max(kafka_offset) AS end_offset,
+      max(kafka_offset) FILTER (kafka_created_at < {_READ_UNTIL}) AS done_offset
+    FROM ({MIXED_FEED_SQL}) f GROUP BY 1, 2) o) l"""
 
 QUERIES["group_lag"] = lambda spark, sf: monitor.group_lag(
-    monitor.offset_lag(
-        mixed_feed(spark, sf),
-        mixed_feed(spark, sf).filter(F.col("kafka_created_at") < _READ_UNTIL),
-    )
+    monitor.offset_lag(mixed_feed(spark, sf), F.col("kafka_created_at") < _READ_UNTIL)
 )
 ORACLES["group_lag"] = (
     f"SELECT topic, CAST(sum(lag) AS BIGINT) AS lag FROM ({ORACLES['offset_lag']}) l GROUP BY 1"
@@ -496,6 +500,56 @@ SELECT 'user-' || user_id AS domain, max(epoch_us(ts) // 1000) AS last_ms,
   ({_CLOCK} - max(epoch_us(ts) // 1000)) / 1000.0 AS age_seconds
 FROM events GROUP BY user_id HAVING {_CLOCK} - max(epoch_us(ts) // 1000) > 900000"""
 
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("user-"), "user_id").alias("topic"), epoch_ms("ts").alias("kafka_created_at")
+    )
+
+
+# Late enough that most users are older than the tiers, early enough that some are not.
+_FRESH_CLOCK = 1706616000000
+QUERIES["freshness_status"] = lambda spark, sf: monitor.freshness_status(
+    _arrivals(spark, sf),
+    "topic",
+    F.lit(_FRESH_CLOCK),
+    table(spark, sf, "customer").select(F.concat(F.lit("user-"), "c_custkey").alias("domain")),
+    warn_seconds=86_400,
+    error_seconds=864_000,
+)
+ORACLES["freshness_status"] = f"""
+SELECT *, CASE WHEN age_seconds IS NULL OR age_seconds > 864000 THEN 'error'
+  WHEN age_seconds > 86400 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT domain, last_ms, ({_FRESH_CLOCK} - last_ms) / 1000.0 AS age_seconds
+  FROM (SELECT DISTINCT 'user-' || c_custkey AS domain FROM customer) c
+  LEFT JOIN (SELECT 'user-' || user_id AS domain, max(epoch_us(ts) // 1000) AS last_ms
+    FROM events GROUP BY user_id) e USING (domain)) a"""
+
+QUERIES["alert_firing"] = lambda spark, sf: monitor.firing(
+    table(spark, sf, "events").select(
+        F.concat(F.lit("user-"), "user_id").alias("topic"),
+        F.col("ts").alias("sampled_at"),
+        (F.col("event_type") != "purchase").alias("breach"),
+    ),
+    F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"),
+    hold_seconds=172_800,
+)
+ORACLES["alert_firing"] = """
+WITH past AS (SELECT 'user-' || user_id AS topic, ts, event_type <> 'purchase' AS breach
+  FROM events WHERE ts <= TIMESTAMP '2024-01-25'),
+marked AS (SELECT *, count(*) FILTER (NOT breach) OVER (PARTITION BY topic ORDER BY ts DESC
+  RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS calm_after FROM past)
+SELECT topic, min(ts) AS since, count(*) AS samples FROM marked
+WHERE breach AND calm_after = 0 GROUP BY 1
+HAVING epoch_us(TIMESTAMP '2024-01-25') // 1000 - epoch_us(min(ts)) // 1000 >= 172800000"""
+
+QUERIES["select_topics"] = lambda spark, sf: monitor.select_topics(
+    mixed_feed(spark, sf), r"pg\.public\.(orders|drivers?_?shifts)"
+).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+ORACLES["select_topics"] = (
+    f"SELECT topic, count(*) AS messages FROM ({MIXED_FEED_SQL}) f "
+    "WHERE topic IN ('pg.public.orders', 'pg.public.driver_shifts') GROUP BY 1"
+)
+
 QUERIES["silent_pipeline"] = lambda spark, sf: monitor.silent_pipeline(
     table(spark, sf, "events"), table(spark, sf, "events").filter("event_type = 'signup'")
 )
@@ -560,8 +614,9 @@ def processing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     counts = lines.select(F.concat(F.lit("silver_t"), "l_orderkey").alias("model"), "rows_processed")
     logged = audit.processing_log(run_results(spark, sf_dir), counts, "r1", _now())
-    return logged.drop("started_at", "finished_at").withColumn(
-        "duration_seconds", F.col("duration_seconds").cast("double")
+    stamps = {c: ms_to_ntz(F.unix_millis(c)) for c in ("started_at", "finished_at")}
+    return logged.withColumns(
+        {**stamps, "duration_seconds": F.col("duration_seconds").cast("double")}
     )
 
 
@@ -572,7 +627,9 @@ SELECT 't' || o_orderkey AS table_name, layer, layer || '_t' || o_orderkey AS db
   CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'success' END AS status,
   CASE WHEN layer = 'silver' THEN coalesce(n, 0) ELSE 0 END AS rows_processed,
   floor(o_totalprice + 0.5) / 1000.0 AS duration_seconds,
-  CASE WHEN o_orderstatus = 'F' THEN left(repeat(o_orderpriority, 300), 2000) END AS error_message,
+  date_trunc('day', o_orderdate)::TIMESTAMP + to_seconds(o_orderkey % 10) AS started_at,
+  date_trunc('day', o_orderdate)::TIMESTAMP + to_seconds(o_orderkey % 10) AS finished_at,
+  CASE WHEN o_orderstatus = 'F' THEN repeat(o_orderpriority, 300) END AS error_message,
   'sensor' AS triggered_by, {_NOW_SQL} AS logged_at
 FROM (SELECT *, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver'
     WHEN 2 THEN 'gold' END AS layer FROM orders) o

@@ -200,7 +200,7 @@ FEEDS = {
             "first_name": "substr(c_name, 1, 8) || CAST(ver AS STRING)",
             "last_name": "substr(c_name, 10, 9)",
             "phone_number": "lpad(CAST(c_custkey AS STRING), 9, '8')",
-            "birthday": "CAST(NULL AS DATE)",
+            "birthday": "DATE '1950-01-01' + CAST(c_custkey * 7 % 20000 AS INT)",
             "job": "c_mktsegment",
             "company_name": "'company-' || CAST(c_nationkey AS STRING)",
             "country": "CAST(c_nationkey AS STRING)",
@@ -239,7 +239,7 @@ FEEDS = {
             "phone_number": "lpad(CAST(s_suppkey AS STRING), 9, '6')",
             "city": "'city-' || CAST(s_nationkey AS STRING)",
             "country": "CAST(s_nationkey AS STRING)",
-            "date_birth": "CAST(NULL AS DATE)",
+            "date_birth": "DATE '1960-01-01' + CAST(s_suppkey * 11 % 15000 AS INT)",
             "license_number": "s_name",
             "vehicle_type": "CASE WHEN s_suppkey % 2 = 0 THEN 'bike' ELSE 'car' END",
             "vehicle_make": "CAST(NULL AS STRING)",

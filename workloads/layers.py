@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import (
     digits_modulo,
     epoch_ms,
     epoch_text_to_ms,
+    identifier,
     ms_to_ntz,
     seconds_between,
 )
@@ -16,7 +18,8 @@ from tidemark.operators import bronze as b
 from tidemark.operators import merge as m
 from tidemark.operators import resolve as r
 from tidemark.operators.contracts import contract_for
-from tidemark.sources.changes import read_changes, route, topic_tables, unwrap_envelope
+from tidemark.operators.merge import union_by_name
+from tidemark.sources.changes import dedup_redelivery, land_domain, read_changes, route, topic_tables, unwrap_envelope
 from tidemark.spec import DOMAINS
 from workloads.inputs import landing, landing_sql, table, union_all
 from workloads.sql import NEWEST, bronze_sql, history_sql, silver_sql
@@ -153,6 +156,89 @@ MIXED_FEED_SQL = " UNION ALL ".join(
 )
 
 
+LANDED = ("orders", "search_events", "users_mssql")
+
+
+def envelope_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed of JSON envelopes for several domains, with a field no contract knows."""
+    stamps = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    frames = []
+    for name in LANDED:
+        spec = DOMAINS[name]
+        rows = landing(spark, sf_dir, name)
+        image = F.struct(
+            *[F.col(identifier(f.name)).cast(f.dataType).alias(f.name) for f in spec.source_schema],
+            F.lit("gold").alias("loyalty"),
+        )
+        dead = F.col("__SOURCE_TS_MS").isNull()
+        gone = F.coalesce(F.col("__OP") == "d", F.lit(False))
+        value = F.to_json(
+            F.struct(
+                F.when(gone, image).alias("before"),
+                F.when(~gone, image).alias("after"),
+                F.col("__OP").alias("op"),
+                F.struct(F.col("__SOURCE_TS_MS").alias("ts_ms")).alias("source"),
+            ),
+            stamps,
+        )
+        frames.append(
+            rows.select(
+                F.lit(spec.topic).alias("topic"),
+                F.when(~dead, value).alias("value"),
+                F.col("RECORD_METADATA.offset").alias("kafka_offset"),
+                F.col("RECORD_METADATA.partition").alias("kafka_partition"),
+                F.col("RECORD_METADATA.CreateTime").alias("kafka_created_at"),
+            )
+        )
+    return union_all(frames)
+
+
+def landed_rows(name: str, landed: DataFrame) -> DataFrame:
+    """Landing rows with lower-case names, times as zone-less timestamps, dates as text."""
+    columns = []
+    for field in DOMAINS[name].source_schema:
+        column = F.col(identifier(field.name))
+        if isinstance(field.dataType, T.TimestampType):
+            column = column.cast("timestamp_ntz")  # as it was cast when the feed was made
+        elif isinstance(field.dataType, T.DateType):
+            column = column.cast("string")
+        columns.append(column.alias(field.name))
+    return landed.select(
+        F.lit(name).alias("domain"),
+        *columns,
+        F.col("__OP").alias("op"),
+        F.col("__SOURCE_TS_MS").alias("source_ts_ms"),
+        F.col("RECORD_METADATA.offset").alias("kafka_offset"),
+        F.col("RECORD_METADATA.partition").alias("kafka_partition"),
+        F.col("RECORD_METADATA.CreateTime").alias("kafka_created_at"),
+        F.get_json_object("_EXTRA", "$.loyalty").alias("loyalty"),
+    )
+
+
+def land_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mixed feed landed as typed rows of three domains."""
+    feed = envelope_feed(spark, sf_dir)
+    return union_by_name([landed_rows(d, land_domain(feed, DOMAINS[d])) for d in LANDED])
+
+
+def _landed_sql(name: str) -> str:
+    casts = []
+    for field in DOMAINS[name].source_schema:
+        if isinstance(field.dataType, T.TimestampType):
+            casts.append(f"CAST({field.name} AS TIMESTAMP) AS {field.name}")
+        elif isinstance(field.dataType, T.DateType):
+            casts.append(f"CAST({field.name} AS VARCHAR) AS {field.name}")
+    replaced = f" REPLACE ({', '.join(casts)})" if casts else ""
+    return (
+        f"SELECT '{name}' AS domain, *{replaced}, CASE WHEN source_ts_ms IS NOT NULL "
+        f"AND op IS DISTINCT FROM 'd' THEN 'gold' END AS loyalty FROM ({landing_sql(name)}) l_{name}"
+    )
+
+
+QUERIES["land_changes"] = land_changes
+ORACLES["land_changes"] = " UNION ALL BY NAME ".join(_landed_sql(d) for d in LANDED)
+
+
 def route_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, keyed rows and last offset that each landing table receives."""
     return (
@@ -188,8 +274,8 @@ QUERIES["drop_tombstones"] = lambda spark, sf: b.drop_tombstones(
 )
 ORACLES["drop_tombstones"] = history_sql("orders")
 
-QUERIES["dedup_redelivery"] = lambda spark, sf: history(spark, sf, "payment_events").dropDuplicates(
-    ["kafka_partition", "kafka_offset"]
+QUERIES["dedup_redelivery"] = lambda spark, sf: dedup_redelivery(
+    history(spark, sf, "payment_events")
 )
 ORACLES["dedup_redelivery"] = f"SELECT DISTINCT * FROM ({history_sql('payment_events')}) h"
 

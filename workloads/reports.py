@@ -164,9 +164,6 @@ FROM {_one_per('users_mongo', 'cpf')} p
 LEFT JOIN {_one_per('users_mssql', 'cpf')} e ON e.cpf = p.cpf
 LEFT JOIN o ON o.user_key = p.cpf LEFT JOIN s ON s.cpf = p.cpf LEFT JOIN r ON r.cpf = p.cpf"""
 
-QUERIES["revenue_per_entity"] = QUERIES["revenue_per_restaurant"]
-ORACLES["revenue_per_entity"] = _REVENUE
-
 
 # ----------------------------------------------------------- incremental report
 _SPLIT_MS = 1705363200000
