@@ -188,3 +188,10 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
         return lambda text: model.decode(summer.total(text))
 
     return map_texts(docs.select(*keep, "text"), make, "lang_pred string, score double, ambiguous boolean")
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text has a language that is not ambiguous, with all columns."""
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    found = predict(rows, model, ("row",))
+    return found.filter((F.col("lang_pred") != "und") & ~F.col("ambiguous")).select("row.*")

@@ -268,10 +268,11 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``copy_id``, ``class_id`` and ``n_links`` of each row of ``docs``.
+    """``doc_id``, ``text_key``, ``copy_id``, ``class_id``, ``class_node``, ``n_links`` of each row.
 
     ``copy_id`` is the least id with the same shingle set, ``class_id`` the least id that
     links lead to, ``n_links`` the number of other documents at or above the threshold.
+    ``class_node`` names the class; it is NULL for a text without words.
     """
     rows = stored(signatures(docs), "signatures")
     nodes = stored(
@@ -303,7 +304,10 @@ def join(docs: DataFrame) -> DataFrame:
     roots = components(found.select(F.col("node").alias("u"), F.col("least").alias("v")), "near")
     counts = found.groupBy("node").agg(F.sum("documents").alias("documents"))
     named = nodes.join(roots, "node", "left").select(
-        "node", "copy_id", "copies", F.coalesce("root", "node").alias("root")
+        "node",
+        "copy_id",
+        "copies",
+        F.coalesce("root", "node").alias("root")
     )
     least = named.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     classes = stored(
@@ -311,6 +315,7 @@ def join(docs: DataFrame) -> DataFrame:
         .join(counts, "node", "left")
         .select(
             "node",
+            "root",
             "copy_id",
             "class_id",
             (F.col("copies") - 1 + F.coalesce("documents", F.lit(0))).alias("n_links"),
@@ -323,6 +328,7 @@ def join(docs: DataFrame) -> DataFrame:
         .select(
             "doc_id",
             "text_key",
+            F.col("root").alias("class_node"),
             F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
             F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
@@ -331,13 +337,20 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their class: one document of each class.
+    """One row of each class, with all columns of ``docs``: that of the least id.
 
-    Of rows that share that id the one with the least text key stays, once; rows whose
-    class has no id at all stay.
+    Rows without words are classes of their own and stay.
     """
-    found = join(docs).filter("doc_id IS NOT NULL")
-    gone = found.filter("doc_id <> class_id").select("doc_id", "text_key").distinct()
+    found = stored(join(docs), "classes")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row")
+    chosen = found.filter("class_node IS NOT NULL").groupBy("class_node").agg(least)
+    kept = chosen.select("row.doc_id", "row.text_key").unionByName(
+        found.filter("class_node IS NULL").select("doc_id", "text_key").distinct()
+    )
     keyed = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_key"))
-    kept = keyed.alias("d").join(gone.alias("g"), same_row("d", "g"), "left_anti")
-    return kept.select("row.*")
+    rows = keyed.alias("d").join(kept.alias("k"), same_row("d", "k"), "left_semi")
+    repeated = found.filter("class_node IS NOT NULL").groupBy("doc_id", "text_key").count().filter("count > 1")
+    if repeated.limit(1).count():  # equal rows are one document; texts move only if there are any
+        without = F.col("row.text").rlike("^[\\x20\\x09-\\x0D]*$") | F.col("row.text").isNull()
+        rows = rows.filter(~without).dropDuplicates(["doc_id", "text_key"]).unionByName(rows.filter(without))
+    return rows.select("row.*")
