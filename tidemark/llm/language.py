@@ -21,17 +21,17 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import map_documents, map_texts
 
-BUCKETS = 4096
+BUCKET_BITS = 12
+BUCKETS = 1 << BUCKET_BITS
 PER_LANGUAGE = 300
 EXHAUSTIVE = 6
 #: Least lead of the best language over the second; below it a document is ambiguous.
@@ -44,49 +44,71 @@ ROUNDS = 120
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_grams(word: str) -> list[int]:
-    """Buckets of the 1- to 3-grams of a lower-case word with its ends marked."""
-    if not any(map(str.isalpha, word)):
-        return []
-    marked = f"<{word}>"
-    return [
-        zlib.crc32(marked[i : i + n].encode()) % BUCKETS
-        for n in (1, 2, 3)
-        for i in range(len(marked) - n + 1)
-    ]
+def words_of(text: str | None) -> list[str]:
+    """The lower-case words of a text; a word has a letter."""
+    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))] if text else []
 
 
-class Summer:
-    """Adds up, over the words of a text, one vector per word; remembers the vectors."""
+def gram_buckets(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1, 2, 3: the buckets of the words' n-grams, and where each word's begin.
 
-    def __init__(self, vector_of):
-        self.vector_of = vector_of
-        self.rows: dict[str, int] = {}
-        self.table = np.empty((1024, len(vector_of("a"))), dtype=np.float64)
-
-    def total(self, text: str | None) -> np.ndarray:
-        words = WORD.findall(text.lower()) if text else []
-        rows = self.rows
-        if len(rows) > REMEMBERED:
-            rows.clear()
-        for word in set(words).difference(rows):
-            if len(rows) == len(self.table):
-                self.table = np.concatenate([self.table, np.empty_like(self.table)])
-            self.table[len(rows)] = self.vector_of(word)
-            rows[word] = len(rows)
-        if not words:
-            return np.zeros(self.table.shape[1])
-        counts = np.bincount(np.fromiter(map(rows.__getitem__, words), dtype=np.int64, count=len(words)))
-        there = np.flatnonzero(counts)
-        return counts[there] @ self.table[there]
+    Words are marked at both ends, so each has at least one n-gram of every length.
+    """
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    text = "><".join(words)
+    codes = np.frombuffer(f"<{text}>".encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), lengths)
+    out = []
+    for n in (1, 2, 3):
+        places = len(codes) - n + 1
+        value = np.full(places, n, dtype=np.uint64)
+        for j in range(n):
+            value = value * np.uint64(0x100000001B3) + codes[j : j + places]
+        value *= np.uint64(0x9E3779B97F4A7C15)
+        value ^= value >> np.uint64(29)
+        value *= np.uint64(0xD6E8FEB86659FD93)
+        within = owner[:places] == owner[n - 1 :]
+        buckets = (value >> np.uint64(64 - BUCKET_BITS))[within].astype(np.int64)
+        out.append((buckets, np.cumsum(lengths - n + 1) - (lengths - n + 1)))
+    return out
 
 
 def bucket_counts(text: str | None) -> np.ndarray:
     """How often each bucket occurs in a text."""
-    grams: list[int] = []
-    for word in WORD.findall(text.lower()) if text else ():
-        grams += word_grams(word)
-    return np.bincount(np.array(grams, dtype=np.int64), minlength=BUCKETS)
+    words = words_of(text)
+    parts = [b for b, _ in gram_buckets(words)] if words else [np.empty(0, dtype=np.int64)]
+    return np.bincount(np.concatenate(parts), minlength=BUCKETS)
+
+
+class Summer:
+    """Adds up, over the words of texts, one vector per word; remembers the vectors."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights.astype(np.float64)
+        self.rows: dict[str, int] = {}
+        self.table = np.empty((1024, weights.shape[1] + 1))
+
+    def learn(self, words: list[str]) -> None:
+        """Vectors of new words: the weights of their n-grams, and how many these are."""
+        at, end = len(self.rows), len(self.rows) + len(words)
+        while end > len(self.table):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+        parts = gram_buckets(words)
+        self.table[at:end, :-1] = sum(np.add.reduceat(self.weights[b], s, axis=0) for b, s in parts)
+        self.table[at:end, -1] = 3 * np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 3
+        self.rows.update(zip(words, range(at, end)))
+
+    def totals(self, texts: list[str | None]) -> list[np.ndarray]:
+        split = [words_of(text) for text in texts]
+        if len(self.rows) > REMEMBERED:
+            self.rows.clear()
+        if new := list(set(chain.from_iterable(split)).difference(self.rows)):
+            self.learn(new)
+        get = self.rows.__getitem__
+        return [
+            self.table[np.fromiter(map(get, words), dtype=np.int64, count=len(words))].sum(axis=0)
+            for words in split
+        ]
 
 
 def codewords(n: int) -> np.ndarray:
@@ -122,10 +144,6 @@ class Model:
         best, second = np.argsort(-chances, kind="stable")[:2]
         return self.languages[best], float(chances[best]), bool(chances[best] - chances[second] < LEAST_MARGIN)
 
-    def word_vector(self, word: str) -> np.ndarray:
-        grams = word_grams(word)
-        return np.append(self.weights[grams].sum(axis=0), len(grams))
-
 
 def fit(languages: list[str], counts: np.ndarray) -> Model:
     """``counts``: a row of bucket counts for each entry of ``languages``."""
@@ -184,10 +202,11 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
 
     def make():
         model = shared.value
-        summer = Summer(model.word_vector)
-        return lambda text: model.decode(summer.total(text))
+        summer = Summer(model.weights)
+        return lambda texts: list(zip(*map(model.decode, summer.totals(texts.to_pylist())))) or [[]] * 3
 
-    return map_texts(docs.select(*keep, "text"), make, "lang_pred string, score double, ambiguous boolean")
+    fields = "lang_pred string, score double, ambiguous boolean"
+    return map_documents(docs.select(*keep, "text"), make, fields)
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
