@@ -94,3 +94,11 @@ def test_dimension_null_keys_leave_at_the_scan(spark, work):
     spark.createDataFrame([("u", "k", 1, 1)], "uuid string, k string, source_ts_ms long, "
                           "kafka_offset long").write.parquet(work)
     assert "PushedFilters: [IsNotNull(k)]" in plan(dedup_dimension(spark.read.parquet(work), "k"))
+
+
+@pytest.mark.parametrize("name, most", [("user_behavior", 3), ("bridge_aggregate", 2)])
+def test_facts_are_read_for_counts_and_terms_only(spark, name, most):
+    """Searches are read for their counts and for their terms; recommendations once."""
+    events = final_plan(QUERIES[name](spark, SF)).split("FileScan parquet")
+    scans = sum("event_type" in part.split("\n")[0] for part in events[1:])
+    assert 0 < scans <= most

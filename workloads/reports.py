@@ -246,9 +246,11 @@ def bridged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Searches and distinct terms per person through the many-to-many id bridge."""
     bridge = silver(spark, sf_dir, "users_mongo").select("cpf", "user_id")
     searches = silver(spark, sf_dir, "search_events")
-    per_id = searches.groupBy("user_id").agg(F.count(F.lit(1)).alias("buscas"))
+    # one first level serves both counts, so the searches are read once
+    per_term = searches.groupBy("user_id", "query_text").agg(F.count(F.lit(1)).alias("buscas"))
+    per_id = per_term.groupBy("user_id").agg(F.sum("buscas").alias("buscas"))
     counted = bridge_aggregate(per_id, bridge, "user_id", "cpf", ["buscas"])
-    terms = bridge_distinct(searches, bridge, "user_id", "cpf", "query_text", "termos_distintos")
+    terms = bridge_distinct(per_term, bridge, "user_id", "cpf", "query_text", "termos_distintos")
     return counted.join(terms, "cpf", "left")
 
 
