@@ -9,7 +9,7 @@ from tidemark.sources.changes import EXTRA, land_domain, read_changes, type_land
 from tidemark.sources.sinks import not_older
 from tidemark.sources.tables import Snapshot
 from tidemark.spec import DOMAINS
-from tidemark.streaming.landing import read_topic_rate, run_dedup, run_topic_rate
+from tidemark.streaming.landing import read_topic_rate, run_dedup, run_landing, run_topic_rate
 
 DDL = "id int, v string, source_ts_ms long, kafka_offset long"
 
@@ -58,6 +58,33 @@ def test_insert_missing_reads_touched_buckets_only(spark, work):
     assert len({f.split("bucket=")[1].split("/")[0] for f in touched.inputFiles()}) == 1
 
 
+def test_typed_landing_takes_each_message_once(spark, work):
+    """Copies in one batch and in a later one; messages without offset all stay."""
+    spec = DOMAINS["search_events"]
+    ddl = "topic string, value string, kafka_offset long, kafka_partition int, kafka_created_at long"
+    value = '{"before": null, "after": {"search_id": "s"}, "op": "c", "source": {"ts_ms": 5}}'
+
+    def arrive(places):
+        rows = [(spec.topic, value, offset, partition, 1) for offset, partition in places]
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"{work}/feed")
+        stream = read_changes(spark, f"{work}/feed", ddl, streaming=True)
+        run_landing(stream, [spec], f"{work}/landing", f"{work}/cp", once=True).awaitTermination()
+        landed = spark.read.parquet(f"{work}/landing/{spec.name}").select("RECORD_METADATA.*")
+        return sorted((r["offset"] or 0, r["partition"]) for r in landed.collect())
+
+    assert arrive([(3, 0), (3, 0), (3, 1), (7, 0)]) == [(3, 0), (3, 1), (7, 0)]
+    assert arrive([(3, 0), (7, 0), (5, 1)]) == [(3, 0), (3, 1), (5, 1), (7, 0)]
+    assert arrive([(None, 0), (None, 0)])[:2] == [(0, 0), (0, 0)]
+
+
+def test_dedup_lands_rows_without_offset(spark, work):
+    ddl = "topic string, kafka_partition int, kafka_offset long"
+    spark.createDataFrame([("t", 0, None), ("t", 0, None)], ddl).coalesce(1).write.parquet(f"{work}/feed")
+    stream = read_changes(spark, f"{work}/feed", ddl, streaming=True)
+    run_dedup(stream, f"{work}/out", f"{work}/cp").awaitTermination()
+    assert spark.read.parquet(f"{work}/out").count() == 2
+
+
 def test_a_first_delivery_is_landed_however_late(spark, work):
     ddl = "topic string, kafka_partition int, kafka_offset long, arrived_at string"
     arrivals = [(1, "10:00"), (2, "11:00"), (3, "12:00"), (4, "06:00"), (1, "13:00"), (4, "13:00")]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.monitor import topic_rate
-from tidemark.sources.changes import MESSAGE, dedup_redelivery, land_domain
+from tidemark.sources.changes import MESSAGE, land_domain
 from tidemark.spec import DomainSpec
 
 _BATCH = "batch"
@@ -26,27 +26,43 @@ def _landed(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], f"{schema}, {_BATCH} long")
 
 
+def _unseen(rows: DataFrame, before: DataFrame, batch_id: int, names: dict[str, str]) -> DataFrame:
+    """One row of each message that no other batch has landed; rows without offset all stay.
+
+    ``names`` gives, for each part of a message's name, where both sides have it.
+    """
+    offset = names["kafka_offset"]
+    low, high = rows.agg(F.min(offset), F.max(offset)).first()
+    if low is None:
+        return rows
+    keys = [f"_{c}" for c in names]
+    seen = before.filter((F.col(_BATCH) != batch_id) & F.col(offset).between(low, high)).select(
+        *[F.col(at).alias(f"_seen{c}") for c, at in names.items()]
+    )
+    named = rows.filter(F.col(offset).isNotNull()).withColumns({f"_{c}": F.col(at) for c, at in names.items()})
+    known = F.lit(True)
+    for c in names:
+        known = known & F.col(f"_{c}").eqNullSafe(F.col(f"_seen{c}"))
+    new = named.dropDuplicates(keys).join(seen, known, "left_anti").drop(*keys)
+    return new.unionByName(rows.filter(F.col(offset).isNull()))
+
+
 def run_dedup(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append each message of a feed once, in one directory per batch.
 
     A batch meets the messages that have landed before in an anti-join, for which only
     files within the batch's offset range are read.  No state is kept and nothing
     expires, so a message that comes hours late is landed and its copies are not.  A
-    batch that is written again replaces its own directory.
+    batch that is written again replaces its own directory.  Rows without offset cannot be
+    told apart and are all landed.
     """
     message = [c for c in MESSAGE if c in stream.columns]
     kinds = dict(stream.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in message)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        low, high = batch.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-        if low is None:
-            return
-        before = _landed(spark, path, schema).filter(
-            (F.col(_BATCH) != batch_id) & F.col("kafka_offset").between(low, high)
-        )
-        new = dedup_redelivery(batch).join(before.select(*message), message, "left_anti")
+        before = _landed(batch.sparkSession, path, schema)
+        new = _unseen(batch, before, batch_id, {c: c for c in message})
         new.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
 
     return (
@@ -58,18 +74,24 @@ def run_dedup(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def run_landing(
-    stream: DataFrame, specs: Sequence[DomainSpec], root: str, checkpoint: str
+    stream: DataFrame, specs: Sequence[DomainSpec], root: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
     """Land a mixed feed of envelopes, typed, in one directory per domain and batch.
 
-    A batch is read once for each domain it may hold; one that is written again replaces
-    what it wrote.
+    A batch is read for each domain it may hold; one that is written again replaces what it
+    wrote.  Landing is a history of deliveries, copies included; with ``once`` each message
+    is landed once, as by :func:`run_dedup` (a domain has one topic).
     """
+    position = {"kafka_partition": "RECORD_METADATA.partition", "kafka_offset": "RECORD_METADATA.offset"}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         for spec in specs:
             rows = land_domain(batch, spec)
+            if once:
+                kind = rows.schema["RECORD_METADATA"].dataType.simpleString()
+                before = _landed(batch.sparkSession, f"{root}/{spec.name}", f"RECORD_METADATA {kind}")
+                rows = _unseen(rows, before, batch_id, position)
             rows.write.mode("overwrite").parquet(f"{root}/{spec.name}/{_BATCH}={batch_id}")
         batch.unpersist()
 
