@@ -1,10 +1,11 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join with MinHash banding and exact verification.
 
 A document is the set of its ``SHINGLE``-word shingles (all words, if it has fewer).
 Documents with equal sets form a class of copies that goes on as one node.  A node has a
-signature in each of ``TREES`` tries; nodes with a common prefix of a signature are
-candidates.  The prefix is shortened, from ``DEEPEST`` values on, until a pair at the
-threshold shares one with at least the target probability.
+key in each of ``TREES`` bands; nodes with a common key are candidates.  All keys are made
+of the same number of values, the most (up to ``DEEPEST``) with which a pair at the
+threshold shares one with at least the target probability.  This is not a forest with
+sorted prefixes: one stopped at that depth for all would give the same candidates.
 
 The nodes under one prefix are compared in blocks of bounded size, so a group of any size
 is spread over many tasks, and its pairs are never rows: a block emits a row per node,
