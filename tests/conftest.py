@@ -33,9 +33,8 @@ def work(spark, request):
     return shared_dir(spark, request.node.name.split("[")[0])
 
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def sf_dir():
+    from support import SF
+
     return SF

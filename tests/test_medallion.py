@@ -1,7 +1,7 @@
 """The layered run from landing tables to checked reports."""
 
 import pytest
-from conftest import SF
+from support import SF
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import enforce

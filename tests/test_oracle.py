@@ -2,7 +2,7 @@
 
 import oracle
 import pytest
-from conftest import SF
+from support import SF
 
 from __spark_entry__ import entry, queries
 from workloads.registry import ORACLES, QUERIES

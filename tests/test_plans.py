@@ -1,7 +1,7 @@
 """Physical plans: what must hold at any size."""
 
 import pytest
-from conftest import SF
+from support import SF
 
 from tidemark.operators.aggregates import share_of_total
 from tidemark.operators.bronze import bronze, dedup_latest
