@@ -112,3 +112,67 @@ SELECT d.doc_id, class_id, coalesce(n_links, 0) AS n_links, least(d.doc_id, copy
 FROM d JOIN (SELECT doc_id, min(other) AS class_id FROM reached GROUP BY 1) c ON c.doc_id = d.doc_id
 LEFT JOIN (SELECT x, count(*) AS n_links, min(y) FILTER (copies) AS copy_id FROM links GROUP BY 1) l
   ON l.x = d.doc_id"""
+
+#: Unsigned CRC-32 of the decimal text of an integer column, a bit at a time.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split({0}::VARCHAR, ''), lambda ch: list_concat([ord(ch)::BIGINT],
+    [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _sized(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_sized, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+           CASE WHEN {_CRC32.format("doc_id")} % 7 = 0 THEN {_leaf("(n_chars::HUGEINT + 1)")}
+                ELSE {_leaf("n_chars")} END AS given
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+), tree AS (
+    SELECT lang, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM placed
+    UNION ALL
+    SELECT lang, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+    FROM tree WHERE n > 1 GROUP BY lang, lvl, pos // 2, n
+), subroots AS (
+    SELECT lang, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos FROM tree WHERE n = 1
+), upper AS (
+    SELECT 0 AS lvl, pos, subroot AS h, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+    FROM upper WHERE n > 1 GROUP BY lvl, pos // 2, n
+), steps AS (
+    SELECT p.lang, p.pos, t.lvl, t.pos % 2 = 1 AS odd, s.h AS sibling
+    FROM placed p
+    JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang AND t.pos = p.pos >> t.lvl AND t.n > 1
+    LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM t.lang AND s.lvl = t.lvl AND s.pos = xor(t.pos, 1)
+    UNION ALL
+    SELECT p.lang, p.pos, (SELECT max(lvl) FROM tree WHERE lang IS NOT DISTINCT FROM p.lang) + t.lvl, t.pos % 2 = 1, s.h
+    FROM placed p
+    JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+    JOIN upper t ON t.pos = r.pos >> t.lvl AND t.n > 1
+    LEFT JOIN upper s ON s.lvl = t.lvl AND s.pos = xor(t.pos, 1)
+), proofs AS (
+    SELECT lang, pos, string_agg(sibling, '' ORDER BY lvl) AS proof, max(lvl) + 1 AS height FROM steps GROUP BY lang, pos
+), folds AS (
+    SELECT lang, pos, 0 AS lvl, given AS v FROM placed
+    UNION ALL
+    SELECT f.lang, f.pos, f.lvl + 1,
+           sha256(CASE WHEN s.odd THEN coalesce(s.sibling, '') || f.v ELSE f.v || coalesce(s.sibling, '') END)
+    FROM folds f JOIN steps s ON s.lang IS NOT DISTINCT FROM f.lang AND s.pos = f.pos AND s.lvl = f.lvl
+)
+SELECT p.doc_id, p.leaf, r.subroot, (SELECT h FROM upper WHERE n = 1) AS root,
+       sha256(coalesce(q.proof, '')) AS proof_sha256, f.v AS folded_root,
+       f.v = (SELECT h FROM upper WHERE n = 1) AS verified
+FROM placed p
+JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos
+JOIN folds f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos AND f.lvl = coalesce(q.height, 0)
+"""

@@ -10,6 +10,7 @@ from tidemark.llm import (
     bpe,
     decontaminate,
     language,
+    merkle,
     near_duplicates,
     passages,
     pii,
@@ -128,3 +129,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_digest(spans, secrets.BASE_KINDS), 256).alias("base_sha256"),
         span_digest(spans).alias("spans"),
     )
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
