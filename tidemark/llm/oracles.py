@@ -176,3 +176,37 @@ JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
 LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos
 JOIN folds f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos AND f.lvl = coalesce(q.height, 0)
 """
+
+ORACLES["op12_prefix_trie"] = f"""
+WITH t AS (
+    SELECT conv_id, tok, b, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tok) AS k
+    FROM (SELECT conv_id, turn, strlen(coalesce(text, '')) AS b,
+                 substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')), 1, 32) AS tok
+          FROM conversations WHERE conv_id IS NOT NULL) a
+), c AS (
+    SELECT conv_id AS c, {_CRC32.format("conv_id")} % 9 AS h, count(*) AS n FROM t GROUP BY conv_id
+), r AS (
+    SELECT c, k AS pos, tok, b FROM c JOIN t ON t.conv_id = c - c % 5 AND k <= h
+    UNION ALL
+    SELECT c.c, least(c.h, coalesce(g.n, 0)) + k - c.h, tok, b
+    FROM c JOIN t ON t.conv_id = c.c AND k > c.h LEFT JOIN c g ON g.c = c.c - c.c % 5
+), p AS (
+    SELECT c, pos AS d, b, string_agg(tok, '') OVER (PARTITION BY c ORDER BY pos) AS key FROM r
+    UNION ALL SELECT c, 0, 0, '' FROM c
+), m AS (
+    SELECT *, d = max(d) OVER (PARTITION BY c) AS ends FROM p
+), v AS (
+    SELECT key, d, min(c) AS conv_id, count(*) AS n, min(b) AS b, left(key, 32 * (d - 1)) AS above,
+           string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends) AS ids
+    FROM m GROUP BY key, d
+), kids AS (SELECT above, count(*) AS n FROM v WHERE d > 0 GROUP BY above),
+below AS (
+    SELECT v.key, sum((u.n - 1) * u.b) AS saved, count(*) FILTER (WHERE u.key NOT IN (SELECT above FROM kids)) AS leaves
+    FROM v JOIN v u ON starts_with(u.key, v.key) GROUP BY v.key
+)
+SELECT v.conv_id, v.d AS depth, o.conv_id AS parent_conv_id, v.n AS n_convs,
+       coalesce(kids.n, 0) AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens,
+       sha256(coalesce(v.ids, '')) AS ends_sha256
+FROM v LEFT JOIN kids ON kids.above = v.key JOIN below ON below.key = v.key
+LEFT JOIN v o ON v.d > 0 AND o.key = v.above
+"""

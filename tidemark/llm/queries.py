@@ -14,6 +14,7 @@ from tidemark.llm import (
     near_duplicates,
     passages,
     pii,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secrets,
@@ -135,3 +136,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.conversations(table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.trie(prefix_trie.share_beginnings(convs))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
