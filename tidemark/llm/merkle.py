@@ -23,10 +23,10 @@ from __future__ import annotations
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_groups, stored
+from tidemark.llm.common import map_groups, positions, stored
 
 #: Nodes that become one, and levels of a block: 1,024 leaves.
 FAN = 2
@@ -106,36 +106,6 @@ class Tree:
         return new
 
 
-def positions(rows: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``rows`` with their ``position`` in their ``tree`` by ``order``, and its ``size``.
-
-    Rows are sorted over all tasks; a count per task and tree gives where each task begins,
-    so no tree is sorted by one task.
-    """
-    dealt = rows.withColumn("_deal", F.rand(7))  # equal rows need not meet in one task
-    dealt = stored(
-        dealt.repartitionByRange("tree", *order, "_deal")
-        .sortWithinPartitions("tree", *order)
-        .drop("_deal")
-        .withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}),
-        name,
-    )
-    parts = dealt.groupBy("tree", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    tree = Window.partitionBy("tree")
-    before = tree.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        "tree",
-        "_part",
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_n").over(tree).alias("size"),
-    )
-    return (
-        dealt.join(parts, ["tree", "_part"])
-        .withColumn("position", F.col("_at") + F.col("_shift"))
-        .drop("_part", "_at", "_shift")
-    )
-
-
 def _block_height(size: int, height: int) -> int | None:
     """Levels of a block of a tree of ``size``; a tree of one block ends where one node is left."""
     return height if size > FAN**height else None
