@@ -10,6 +10,7 @@ from tidemark.llm import (
     bpe,
     decontaminate,
     language,
+    log_bilinear,
     merkle,
     near_duplicates,
     passages,
@@ -145,3 +146,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
     )
+
+
+@query
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = log_bilinear.log_probabilities(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return found.select(
+        "doc_id", held_out(7, 2), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
