@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import identifier
+from tidemark.sources.envelopes import EXTRA
 from tidemark.spec import DOMAINS, DomainSpec
 
 
@@ -81,10 +82,6 @@ def write_routed(df: DataFrame, root: str) -> None:
     df.write.mode("append").partitionBy("table_name").parquet(root)
 
 
-#: JSON text of the fields a contract does not know; NULL if there are none.
-EXTRA = "_EXTRA"
-
-
 def type_landing(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Upper-case names and contract types; columns the row lacks become NULL.
 
@@ -108,47 +105,6 @@ def type_landing(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-#: Value of a message: the images are parsed in a second step, by the domain's contract.
-_VALUE = "before string, after string, op string, source struct<ts_ms:long>"
-_STAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-
-
-def land_domain(feed: DataFrame, spec: DomainSpec) -> DataFrame:
-    """Typed landing rows of one domain from a mixed feed of JSON envelopes.
-
-    ``feed`` has ``topic``, ``value`` (JSON text; NULL is a tombstone) and the position
-    columns.  A delete keeps its key from the image before; fields the contract does not
-    know are kept in ``_EXTRA``.
-    """
-    fields = spec.source_schema
-    own = feed.filter(F.col("topic") == spec.topic).withColumn("_v", F.from_json("value", _VALUE))
-    parsed = own.select(
-        "*",
-        F.from_json("_v.after", fields, _STAMPS).alias("_new"),
-        F.from_json("_v.before", fields, _STAMPS).alias("_old"),
-        F.map_filter(
-            F.from_json("_v.after", "map<string,string>"), lambda k, v: ~k.isin(fields.names)
-        ).alias("_more"),
-    )
-    typed = [
-        F.coalesce(F.col(f"_new.{f.name}"), F.col(f"_old.{f.name}"))
-        if f.name == spec.key
-        else F.col(f"_new.{f.name}")
-        for f in fields
-    ]
-    return parsed.select(
-        *[column.alias(identifier(f.name)) for column, f in zip(typed, fields)],
-        F.col("_v.op").alias("__OP"),
-        F.col("_v.source.ts_ms").alias("__SOURCE_TS_MS"),
-        F.struct(
-            F.col("kafka_offset").alias("offset"),
-            F.col("kafka_partition").alias("partition"),
-            F.col("kafka_created_at").alias("CreateTime"),
-        ).alias("RECORD_METADATA"),
-        F.when(F.size("_more") > 0, F.to_json("_more")).alias(EXTRA),
-    )
-
-
 def land(df: DataFrame, path: str, spec: DomainSpec) -> None:
     """Typed append to a landing table; landed rows are never changed."""
     type_landing(df, spec.landing_schema).write.mode("append").parquet(path)

@@ -10,60 +10,69 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.monitor import topic_rate
-from tidemark.sources.changes import MESSAGE, land_domain
+from tidemark.sources.changes import MESSAGE
+from tidemark.sources.envelopes import type_messages, write_landing
 from tidemark.spec import DomainSpec
 
 _BATCH = "batch"
+#: Directory, beside the batches, of the offsets that each batch holds.
+_RANGES = "_ranges"
 
 
-def _landed(spark: SparkSession, path: str, schema) -> DataFrame:
-    """What earlier batches wrote; nothing before the first."""
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """What earlier batches wrote; None before the first."""
     try:
         return spark.read.schema(f"{schema}, {_BATCH} long").parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"{schema}, {_BATCH} long")
+        return None
 
 
-def _unseen(rows: DataFrame, before: DataFrame, batch_id: int, names: dict[str, str]) -> DataFrame:
+def _unseen(rows: DataFrame, root: str, batch_id: int) -> DataFrame:
     """One row of each message that no other batch has landed; rows without offset all stay.
 
-    ``names`` gives, for each part of a message's name, where both sides have it.
+    The offsets of a batch are kept as one range per topic and partition.  Only batches whose
+    ranges meet this one's are read, so a lagging partition opens its own past, not all.
     """
-    offset = names["kafka_offset"]
-    low, high = rows.agg(F.min(offset), F.max(offset)).first()
-    if low is None:
-        return rows
-    keys = [f"_{c}" for c in names]
-    seen = before.filter((F.col(_BATCH) != batch_id) & F.col(offset).between(low, high)).select(
-        *[F.col(at).alias(f"_seen{c}") for c, at in names.items()]
-    )
-    named = rows.filter(F.col(offset).isNotNull()).withColumns({f"_{c}": F.col(at) for c, at in names.items()})
-    known = F.lit(True)
-    for c in names:
-        known = known & F.col(f"_{c}").eqNullSafe(F.col(f"_seen{c}"))
-    new = named.dropDuplicates(keys).join(seen, known, "left_anti").drop(*keys)
-    return new.unionByName(rows.filter(F.col(offset).isNull()))
+    spark, name = rows.sparkSession, [c for c in MESSAGE if c in rows.columns]
+    places = [c for c in name if c != "kafka_offset"]
+    kinds = dict(rows.dtypes)
+    ranges = rows.groupBy(*places).agg(F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high"))
+    ranges.write.mode("overwrite").parquet(f"{root}/{_RANGES}/{_BATCH}={batch_id}")
+    stored = ", ".join([*(f"{c} {kinds[c]}" for c in places), "low long", "high long"])
+    ranges = _read(spark, f"{root}/{_RANGES}", stored)
+    mine, others = (ranges.filter(F.col(_BATCH) == batch_id), ranges.filter(F.col(_BATCH) != batch_id))
+    meet = (F.col("a.low") <= F.col("b.high")) & (F.col("b.low") <= F.col("a.high"))
+    for c in places:
+        meet = meet & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    met = others.alias("a").join(mine.alias("b"), meet, "left_semi").select(_BATCH).distinct()
+    batches = [r[0] for r in met.collect()]  # ids of batches, one number each
+
+    named = rows.filter(F.col("kafka_offset").isNotNull()).withColumns({f"_{c}": F.col(c) for c in name})
+    new = named.dropDuplicates([f"_{c}" for c in name])
+    if batches:
+        before = _read(spark, root, ", ".join(f"{c} {kinds[c]}" for c in name))
+        seen = before.filter(F.col(_BATCH).isin(batches)).select(*[F.col(c).alias(f"_seen_{c}") for c in name])
+        known = F.lit(True)
+        for c in name:
+            known = known & F.col(f"_{c}").eqNullSafe(F.col(f"_seen_{c}"))
+        new = new.join(seen, known, "left_anti")
+    return new.drop(*[f"_{c}" for c in name]).unionByName(rows.filter(F.col("kafka_offset").isNull()))
 
 
 def run_dedup(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append each message of a feed once, in one directory per batch.
 
     A batch meets the messages that have landed before in an anti-join, for which only
-    files within the batch's offset range are read.  No state is kept and nothing
+    batches with offsets in the same ranges are read.  No state is kept and nothing
     expires, so a message that comes hours late is landed and its copies are not.  A
     batch that is written again replaces its own directory.  Rows without offset cannot be
     told apart and are all landed.
     """
-    message = [c for c in MESSAGE if c in stream.columns]
-    kinds = dict(stream.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in message)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = _landed(batch.sparkSession, path, schema)
-        new = _unseen(batch, before, batch_id, {c: c for c in message})
-        new.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+        _unseen(batch, path, batch_id).write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -76,24 +85,17 @@ def run_dedup(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def run_landing(
     stream: DataFrame, specs: Sequence[DomainSpec], root: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Land a mixed feed of envelopes, typed, in one directory per domain and batch.
+    """Land a mixed feed of envelopes, typed, with a directory per batch and domain.
 
-    A batch is read for each domain it may hold; one that is written again replaces what it
-    wrote.  Landing is a history of deliveries, copies included; with ``once`` each message
-    is landed once, as by :func:`run_dedup` (a domain has one topic).
+    A batch is read, parsed and written once, whatever its domains; messages that cannot be
+    landed go to the rejects.  A batch that comes again replaces what it wrote.  Landing is a
+    history of deliveries, copies included; with ``once`` each message is landed once, as by
+    :func:`run_dedup`.  Read it with ``read_landing`` and ``read_rejects``.
     """
-    position = {"kafka_partition": "RECORD_METADATA.partition", "kafka_offset": "RECORD_METADATA.offset"}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        for spec in specs:
-            rows = land_domain(batch, spec)
-            if once:
-                kind = rows.schema["RECORD_METADATA"].dataType.simpleString()
-                before = _landed(batch.sparkSession, f"{root}/{spec.name}", f"RECORD_METADATA {kind}")
-                rows = _unseen(rows, before, batch_id, position)
-            rows.write.mode("overwrite").parquet(f"{root}/{spec.name}/{_BATCH}={batch_id}")
-        batch.unpersist()
+        rows = _unseen(batch, root, batch_id) if once else batch
+        write_landing(type_messages(rows, specs), f"{root}/{_BATCH}={batch_id}", specs)
 
     return (
         stream.writeStream.foreachBatch(write)

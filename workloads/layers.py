@@ -19,7 +19,8 @@ from tidemark.operators import merge as m
 from tidemark.operators import resolve as r
 from tidemark.operators.contracts import contract_for
 from tidemark.operators.merge import union_by_name
-from tidemark.sources.changes import dedup_redelivery, land_domain, read_changes, route, topic_tables, unwrap_envelope
+from tidemark.sources.changes import dedup_redelivery, read_changes, route, topic_tables, unwrap_envelope
+from tidemark.sources.envelopes import land_domain
 from tidemark.spec import DOMAINS
 from workloads.inputs import landing, landing_sql, table, union_all
 from workloads.sql import NEWEST, bronze_sql, history_sql, silver_sql

@@ -15,6 +15,7 @@ from tidemark.functions import epoch_ms, ms_to_ntz
 from tidemark.operators import bronze as b
 from tidemark.operators.merge import union_by_name
 from tidemark.sources.changes import read_changes
+from tidemark.sources.envelopes import read_landing
 from tidemark.sources.tables import Snapshot
 from tidemark.sources.workdir import shared_dir
 from tidemark.streaming.gate import run_gate
@@ -200,7 +201,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = read_changes(spark, f"{work}/feed", feed.schema, streaming=True)
         run_landing(stream, specs, f"{work}/landing", f"{work}/checkpoint").awaitTermination()
     return union_by_name(
-        [landed_rows(s.name, spark.read.parquet(f"{work}/landing/{s.name}")) for s in specs]
+        [landed_rows(s.name, read_landing(spark, f"{work}/landing", s)) for s in specs]
     )
 
 
