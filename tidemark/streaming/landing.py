@@ -47,7 +47,7 @@ def _unseen(rows: DataFrame, root: str, batch_id: int) -> DataFrame:
     for c in places:
         meet = meet & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     met = others.alias("a").join(mine.alias("b"), meet, "left_semi").select(_BATCH).distinct()
-    batches = [r[0] for r in met.collect()]  # ids of batches, one number each
+    batches = sorted(r[0] for r in met.collect())  # one number a batch
 
     named = rows.filter(F.col("kafka_offset").isNotNull()).withColumns({f"_{c}": F.col(c) for c in name})
     new = named.dropDuplicates([f"_{c}" for c in name])
