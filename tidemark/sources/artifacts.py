@@ -1,20 +1,40 @@
-"""Run artefacts."""
+"""Run artefacts: one nested JSON document per file."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RUN_RESULTS = (
-    "metadata struct<invocation_id:string>, "
-    "results array<struct<unique_id:string,status:string,execution_time:double,"
+#: Results as they are written; times are numbers, whatever the text says of them.
+RESULTS = (
+    "array<struct<unique_id:string,status:string,execution_time:string,"
     "message:string,timing:array<struct<name:string,started_at:string,completed_at:string>>>>"
 )
 
 
+def _seconds(result: Column) -> Column:
+    return result["execution_time"].try_cast("double")
+
+
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, the run, and its results; these are NULL if any cannot be read as it is."""
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    parsed = texts.select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("_v"))
+    results = F.try_variant_get("_v", "$.results", RESULTS)
+    lost = F.exists(results, lambda r: r["execution_time"].isNotNull() & _seconds(r).isNull())
+    typed = F.transform(results, lambda r: r.withField("execution_time", _seconds(r)))
+    return parsed.select(
+        "file",
+        F.try_variant_get("_v", "$.metadata.invocation_id", "string").alias("invocation_id"),
+        F.when(~lost, typed).alias("results"),
+    )
+
+
 def read_run_results(spark: SparkSession, path: str) -> DataFrame:
     """One row per result of one or more run-result documents."""
-    documents = spark.read.schema(RUN_RESULTS).option("multiLine", True).json(path)
-    return documents.select(
-        F.col("metadata.invocation_id").alias("invocation_id"), F.inline("results")
-    )
+    return _documents(spark, path).select("invocation_id", F.inline("results"))
+
+
+def broken_run_results(spark: SparkSession, path: str) -> DataFrame:
+    """Files of which nothing was read: cut off, or with results of other types."""
+    return _documents(spark, path).filter("results IS NULL").select("file")

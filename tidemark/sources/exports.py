@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import digits_modulo
 from tidemark.operators.bronze import dedup_latest
 from tidemark.operators.merge import union_by_name
+from tidemark.operators.ranking import global_rank
 from tidemark.sources.tables import Snapshot
 from tidemark.spec import DOMAINS, DomainSpec
 
 BATCHES = ("initial", "incremental", "all")
-_INITIAL_SHARE = 0.8
+#: The first batch: four fifths of the files.
+_INITIAL_PARTS, _PARTS = 4, 5
 _BY_PREFIX = {spec.export_prefix: spec for spec in DOMAINS.values()}
 
 
@@ -32,7 +34,7 @@ def select_files(
     """``file`` and ``domain`` of the recognised export files of a batch.
 
     ``initial`` is the first 80 percent by name (rounded down), ``incremental`` the rest.
-    Names are ranked by counting, for each first part of the name, what comes before it.
+    Names are sorted and counted by many tasks; see :func:`global_rank`.
     """
     if batch not in BATCHES:
         raise ValueError(f"unknown batch {batch!r}; expected one of {', '.join(BATCHES)}")
@@ -48,11 +50,9 @@ def select_files(
         named = named.filter(F.col("domain") == domain)
     if batch == "all":
         return named
-    total = named.agg(F.count(F.lit(1))).scalar()
-    cut = F.floor(total * F.lit(_INITIAL_SHARE))
-    ranked = named.withColumn("_rank", F.row_number().over(Window.orderBy("file")))
-    first = F.col("_rank") <= cut
-    return ranked.filter(first if batch == "initial" else ~first).drop("_rank")
+    ranked, total = global_rank(named, "file", name="export_rank")
+    first = F.col("export_rank") <= int(total * _INITIAL_PARTS // _PARTS)
+    return ranked.filter(first if batch == "initial" else ~first).drop("export_rank")
 
 
 def read_exports(

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import identifier, ms_to_ntz
+from tidemark.operators.audit import processing_log
+from tidemark.sources.artifacts import broken_run_results, read_run_results
 from tidemark.sources.envelopes import type_messages
+from tidemark.sources.exports import export_summary, load_exports
+from tidemark.sources.workdir import shared_dir
 from tidemark.spec import DOMAINS
-from workloads.inputs import landing_sql
+from workloads.governance import run_results
+from workloads.inputs import landing, landing_sql, union_all
 from workloads.layers import LANDED, envelope_feed
 
 QUERIES = {}
@@ -60,7 +66,7 @@ def land_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("outcome") != "rejected").alias("typed"),
         F.coalesce(*key).alias("key"),
         F.coalesce(*number).alias("number"),
-        F.coalesce(*time).alias("at"),
+        F.coalesce(*time).alias("happened_at"),
     )
 
 
@@ -82,7 +88,7 @@ SELECT CASE WHEN k = 2 THEN 'pg.public.unheard' ELSE '{spec.topic}' END AS topic
   CASE WHEN reasons = '' THEN {spec.key} END AS key,
   CASE WHEN reasons = '' THEN CAST({number} AS DOUBLE) END AS number,
   CASE WHEN reasons <> '' THEN NULL WHEN k = 4 THEN date_trunc('second', CAST({time} AS TIMESTAMP))
-       ELSE CAST({time} AS TIMESTAMP) END AS at
+       ELSE CAST({time} AS TIMESTAMP) END AS happened_at
 FROM (SELECT *, CASE
     WHEN k = 2 THEN 'unknown_topic'
     WHEN dead THEN ''
@@ -101,3 +107,134 @@ FROM (SELECT *, CASE
 
 QUERIES["land_rejects"] = land_rejects
 ORACLES["land_rejects"] = " UNION ALL ".join(_damaged_sql(d) for d in LANDED)
+
+
+EXPORTED = ("orders", "search_events", "users_mssql")
+#: Files a domain is exported to, per version of its rows.
+PARTS = 16
+#: Every so many source rows one is written as a broken line.
+BROKEN = 23
+
+
+def export_files(spark: SparkSession, sf_dir: str) -> str:
+    """JSON-lines exports of three domains, all rows, with the names exporters give them."""
+    work = shared_dir(spark, "exports")
+    spark.createDataFrame([("{}",)], "value string").write.text(f"{work}/files")  # and a file of no domain
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{work}/files")
+    fs = files.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in EXPORTED:
+        spec = DOMAINS[name]
+        rows = landing(spark, sf_dir, name).filter(f"{spec.key.upper()} IS NOT NULL AND NOT __OP <=> 'd'")
+        offset = F.col("RECORD_METADATA.offset")
+        sequence = F.floor(offset / 4)
+        line = F.to_json(
+            F.struct(
+                *[F.col(identifier(f.name)).cast(f.dataType).alias(f.name) for f in spec.source_schema]
+            ),
+            {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"},
+        )
+        lines = rows.select((offset % 4 * PARTS + sequence % PARTS).alias("file"), sequence.alias("n"), line.alias("line"))
+        cut = F.when(F.col("n") % BROKEN == 5, F.expr("left(line, length(line) - 2)")).otherwise(F.col("line"))
+        # the rows of a file are one task's, so that there is one file
+        lines.select("file", cut.alias("value")).repartition("file").write.partitionBy("file").text(f"{work}/{name}")
+        for folder in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{work}/{name}")):
+            at = folder.getPath()
+            if folder.isDirectory():
+                number = int(at.getName().split("=")[1])
+                for part in fs.listStatus(at):
+                    named = f"{work}/files/{spec.export_prefix}_{number:03d}.json"
+                    fs.rename(part.getPath(), spark._jvm.org.apache.hadoop.fs.Path(named))
+    return f"{work}/files"
+
+
+def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows to upsert of each batch of export files: the last one of each key."""
+    place = export_files(spark, sf_dir)
+    frames = []
+    for batch in ("initial", "incremental"):
+        for name, rows in load_exports(spark, place, batch).items():
+            frames.append(
+                rows.select(
+                    F.lit(batch).alias("batch"),
+                    F.lit(name).alias("domain"),
+                    F.col(DOMAINS[name].key).alias("key"),
+                    F.col(_NUMBER[name]).cast("double").alias("number"),
+                    F.col(_TIME[name]).cast("timestamp_ntz").alias("happened_at"),
+                )
+            )
+    return union_all(frames)
+
+
+def _exports_sql() -> str:
+    """Every exported line with its file."""
+    parts = []
+    for name in EXPORTED:
+        spec = DOMAINS[name]
+        parts.append(f"""
+SELECT '{name}' AS domain, {spec.key} AS key, CAST({_NUMBER[name]} AS DOUBLE) AS number,
+  CAST({_TIME[name]} AS TIMESTAMP) AS happened_at, (kafka_offset // 4) % {BROKEN} = 5 AS broken,
+  '{spec.export_prefix}_' || lpad(CAST(kafka_offset % 4 * {PARTS} + kafka_offset // 4 % {PARTS} AS VARCHAR), 3, '0') AS file
+FROM ({landing_sql(name)}) l_{name} WHERE {spec.key} IS NOT NULL AND op IS DISTINCT FROM 'd'""")
+    return " UNION ALL ".join(parts)
+
+
+QUERIES["load_exports"] = exported
+ORACLES["load_exports"] = f"""
+WITH lines AS ({_exports_sql()}),
+files AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY file) <= floor(0.8 * count(*) OVER ())
+    THEN 'initial' ELSE 'incremental' END AS batch FROM (SELECT DISTINCT file FROM lines) f)
+SELECT batch, domain, key, number, happened_at FROM lines JOIN files USING (file) WHERE NOT broken
+QUALIFY row_number() OVER (PARTITION BY batch, domain, key ORDER BY file DESC) = 1"""
+
+QUERIES["export_summary"] = lambda spark, sf: export_summary(spark, export_files(spark, sf))
+ORACLES["export_summary"] = f"""
+SELECT domain, count(DISTINCT file) AS files, CAST(count(*) FILTER (WHERE NOT broken) AS BIGINT) AS records,
+  CAST(count(*) FILTER (WHERE broken) AS BIGINT) AS errors
+FROM ({_exports_sql()}) lines GROUP BY domain"""
+
+
+#: Results of one run; every fifth document is cut off.
+RUN = 500
+
+
+def artefact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows from run documents, one file each, and the files that cannot be read."""
+    work = shared_dir(spark, "artefacts")
+    results = run_results(spark, sf_dir).withColumns(
+        {"message": F.substring("message", 1, 20), "_order": F.regexp_extract("unique_id", r"(\d+)$", 1).cast("long")}
+    )
+    runs = results.groupBy(F.floor(F.col("_order") / RUN).alias("run")).agg(  # ``RUN`` results at most
+        F.collect_list(F.struct("unique_id", "status", "execution_time", "message", "timing")).alias("results")
+    )
+    document = F.to_json(
+        F.struct(F.struct(F.concat(F.lit("i"), "run").alias("invocation_id")).alias("metadata"), "results"),
+        {"pretty": "true"},
+    )
+    texts = runs.select("run", document.alias("value"))
+    cut = F.when(F.col("run") % 5 == 2, F.expr("left(value, length(value) - 9)")).otherwise(F.col("value"))
+    texts.select("run", cut.alias("value")).repartition("run").write.partitionBy("run").text(work)
+    none = spark.createDataFrame([], "model string, rows_processed long")
+    logged = processing_log(read_run_results(spark, work), none, "r", F.lit(None).cast("timestamp"))
+    broken = broken_run_results(spark, work)
+    return logged.select(
+        F.col("dbt_invocation_id").alias("run"), "dbt_model", "status",
+        F.col("duration_seconds").cast("double").alias("seconds"), "error_message",
+        ms_to_ntz(F.unix_millis("started_at")).alias("started_at"),
+    ).unionByName(
+        broken.select(F.concat(F.lit("i"), F.regexp_extract("file", r"run=(\d+)", 1)).alias("run"), F.lit("unreadable").alias("status")),
+        allowMissingColumns=True,
+    )
+
+
+QUERIES["read_run_results"] = artefact_log
+ORACLES["read_run_results"] = f"""
+SELECT 'i' || (o_orderkey // {RUN}) AS run, layer || '_t' || o_orderkey AS dbt_model,
+  CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'success' END AS status,
+  floor(o_totalprice + 0.5) / 1000.0 AS seconds,
+  CASE WHEN o_orderstatus = 'F' THEN left(repeat(o_orderpriority, 300), 20) END AS error_message,
+  date_trunc('day', o_orderdate)::TIMESTAMP + to_seconds(o_orderkey % 10) AS started_at
+FROM (SELECT *, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver'
+    WHEN 2 THEN 'gold' END AS layer FROM orders) o
+WHERE layer IS NOT NULL AND o_orderkey // {RUN} % 5 <> 2
+UNION ALL SELECT DISTINCT 'i' || (o_orderkey // {RUN}), NULL, 'unreadable', NULL, NULL, NULL
+FROM orders WHERE o_orderkey // {RUN} % 5 = 2"""
