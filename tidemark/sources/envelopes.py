@@ -34,21 +34,22 @@ EXTRA = "_EXTRA"
 #: Directory of the rejects among those of the domains.
 REJECTS = "_rejects"
 
-_DATE = r"^\d{4}-\d\d-\d\d$"
-_INSTANT = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d(:\d\d(\.\d{1,6}0*)?)?(Z|[+-]\d\d(:?\d\d)?)$"
+#: What dates and instants look like when no digit is lost.
+DATE = r"^\d{4}-\d\d-\d\d$"
+INSTANT = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d(:\d\d(\.\d{1,6}0*)?)?(Z|[+-]\d\d(:?\d\d)?)$"
 _VARIANTS = "map<string,variant>"
 
 
-def _exact(text: Column, kind: T.DataType) -> Column:
+def exact_text(text: Column, kind: T.DataType) -> Column:
     """``text`` as a value of ``kind``; NULL if it is none, or only nearly one."""
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, T.BooleanType):
         return F.when(text == "true", True).when(text == "false", False)
     if isinstance(kind, T.DateType):
-        return F.when(text.rlike(_DATE), text.try_cast("date"))
+        return F.when(text.rlike(DATE), text.try_cast("date"))
     if isinstance(kind, T.TimestampType):
-        return F.when(text.rlike(_INSTANT), text.try_cast("timestamp"))
+        return F.when(text.rlike(INSTANT), text.try_cast("timestamp"))
     if isinstance(kind, T.IntegerType):
         number = text.try_cast("double")  # exact for 32 bits
         return F.when(
@@ -89,8 +90,8 @@ def type_messages(feed: DataFrame, specs: Sequence[DomainSpec]) -> DataFrame:
     typed = {}
     for spec in specs:
         of = F.col(f"_t_{spec.name}")
-        values = [_exact(of[f.name], f.dataType).alias(f.name) for f in spec.source_schema]
-        values.append(_exact(of["__ts"], T.LongType()).alias("__ts"))
+        values = [exact_text(of[f.name], f.dataType).alias(f.name) for f in spec.source_schema]
+        values.append(exact_text(of["__ts"], T.LongType()).alias("__ts"))
         typed[f"_v_{spec.name}"] = F.when(F.col("domain") == spec.name, F.struct(*values))
     checked = parsed.withColumns(texts).withColumns(typed)
     reasons = F.coalesce(

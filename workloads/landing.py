@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import identifier, ms_to_ntz
 from tidemark.operators.audit import processing_log
+from tidemark.operators.discovery import discover_columns, promote_columns, proposed_schema
 from tidemark.sources.artifacts import broken_run_results, read_run_results
-from tidemark.sources.envelopes import type_messages
+from tidemark.sources.envelopes import EXTRA, land_domain, type_messages
 from tidemark.sources.exports import export_summary, load_exports
 from tidemark.sources.workdir import shared_dir
 from tidemark.spec import DOMAINS
 from workloads.governance import run_results
-from workloads.inputs import landing, landing_sql, union_all
+from workloads.inputs import landing, landing_sql, table, union_all
 from workloads.layers import LANDED, envelope_feed
+from workloads.sql import rounded
 
 QUERIES = {}
 ORACLES = {}
@@ -238,3 +240,95 @@ FROM (SELECT *, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'bronze' WHEN 1 THE
 WHERE layer IS NOT NULL AND o_orderkey // {RUN} % 5 <> 2
 UNION ALL SELECT DISTINCT 'i' || (o_orderkey // {RUN}), NULL, 'unreadable', NULL, NULL, NULL
 FROM orders WHERE o_orderkey // {RUN} % 5 = 2"""
+
+
+def enriched_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search events whose producers have added fields, several of them of changing types."""
+    n, quarter = F.col("event_id"), (F.col("event_id") % 100) * 25
+    cents = F.concat(F.floor(quarter / 100), F.lit("."), F.lpad((quarter % 100).cast("string"), 2, "0"))
+    fields = [
+        F.concat(F.lit('"search_id":"'), n, F.lit('"')),
+        F.when(n % 3 == 0, F.concat(F.lit('"tier":'), n % 5)),
+        F.concat(F.lit('"score":'), F.when(n % 2 == 0, (n % 100).cast("string")).otherwise(cents)),
+        F.concat(F.lit('"mixed":'), F.when(n % 2 == 0, (n % 7).cast("string")).otherwise(F.lit('"x"'))),
+        F.when(n % 4 == 0, F.lit('"seen":"2024-01-01T00:00:00Z"')),
+        F.when(n % 4 == 1, F.lit('"day":"2024-01-02"')),
+        F.when(n % 10 == 0, F.concat(F.lit('"tags":[1,'), n % 3, F.lit("]"))),
+        F.when(n % 10 == 1, F.lit('"box":{"w":1,"h":2.5}')),
+        F.concat(F.lit('"only_'), n, F.lit('":1')),
+        F.lit('"never":null'),
+    ]
+    value = F.concat(F.lit('{"after":{'), F.concat_ws(",", *fields), F.lit('},"op":"c","source":{"ts_ms":1}}'))
+    return table(spark, sf_dir, "events").select(
+        F.lit(DOMAINS["search_events"].topic).alias("topic"),
+        value.alias("value"),
+        n.alias("kafka_offset"),
+        F.lit(0).alias("kafka_partition"),
+        F.lit(0).cast("long").alias("kafka_created_at"),
+    )
+
+
+def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landed rows hold beyond their contract; names that are data are added up."""
+    found = discover_columns(land_domain(enriched_feed(spark, sf_dir), DOMAINS["search_events"]))
+    single = F.col("field").startswith("only_")
+    return found.groupBy(F.when(single, "only_*").otherwise(F.col("field")).alias("field"), "found", "proposed").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.max("pct_of_rows").alias("pct_of_rows")
+    )
+
+
+_ENRICHED = (  # field, type found, column proposed, rows that have it
+    ("tier", "BIGINT", "BIGINT", "event_id % 3 = 0"),
+    ("score", "DECIMAL(22,2)", "DECIMAL(22,2)", "true"),
+    ("mixed", "VARIANT", "STRING", "true"),
+    ("seen", "STRING", "TIMESTAMP", "event_id % 4 = 0"),
+    ("day", "STRING", "DATE", "event_id % 4 = 1"),
+    ("tags", "ARRAY<BIGINT>", "ARRAY<BIGINT>", "event_id % 10 = 0"),
+    ("box", "OBJECT<h: DECIMAL(2,1), w: BIGINT>", "STRUCT<h: DECIMAL(2,1), w: BIGINT>", "event_id % 10 = 1"),
+    ("never", "VOID", None, "true"),
+    ("only_*", "BIGINT", "BIGINT", "true"),
+)
+
+
+def _found_sql(field: str, found: str, proposed: str | None, rows: str) -> str:
+    shown = f"'{proposed}'" if proposed else "CAST(NULL AS VARCHAR)"
+    share = "1" if field == "only_*" else f"count(*) FILTER (WHERE {rows})"
+    nulls = "count(*)" if field == "never" else "0"
+    return (
+        f"SELECT '{field}' AS field, '{found}' AS found, {shown} AS proposed, "
+        f"CAST(count(*) FILTER (WHERE {rows}) AS BIGINT) AS rows, CAST({nulls} AS BIGINT) AS nulls, "
+        f"{rounded(share, 'count(*)', 100)} AS pct_of_rows FROM events"
+    )
+
+
+QUERIES["discover_columns"] = discovered
+ORACLES["discover_columns"] = " UNION ALL ".join(_found_sql(*x) for x in _ENRICHED)
+
+
+def promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed rows with a column for each field that a hundredth of them have."""
+    landed = land_domain(enriched_feed(spark, sf_dir), DOMAINS["search_events"])
+    whole = promote_columns(landed, proposed_schema(discover_columns(landed)))
+    return whole.select(
+        F.col("SEARCH_ID").alias("search_id"),
+        F.col("TIER").alias("tier"),
+        F.col("SCORE").cast("double").alias("score"),
+        F.col("MIXED").alias("mixed"),
+        ms_to_ntz(F.unix_millis("SEEN")).alias("seen"),
+        F.col("DAY").cast("string").alias("day"),
+        F.element_at("TAGS", -1).alias("last_tag"),
+        F.col("BOX.h").cast("double").alias("height"),
+        F.col(EXTRA).alias("extra"),
+    )
+
+
+QUERIES["promote_columns"] = promoted
+ORACLES["promote_columns"] = """
+SELECT CAST(event_id AS VARCHAR) AS search_id, CASE WHEN event_id % 3 = 0 THEN event_id % 5 END AS tier,
+  CASE WHEN event_id % 2 = 0 THEN event_id % 100 ELSE event_id % 100 * 25 / 100.0 END AS score,
+  CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 7 AS VARCHAR) ELSE 'x' END AS mixed,
+  CASE WHEN event_id % 4 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' END AS seen,
+  CASE WHEN event_id % 4 = 1 THEN '2024-01-02' END AS day,
+  CASE WHEN event_id % 10 = 0 THEN event_id % 3 END AS last_tag,
+  CASE WHEN event_id % 10 = 1 THEN 2.5::DOUBLE END AS height,
+  '{"never":null,"only_' || event_id || '":1}' AS extra FROM events"""
