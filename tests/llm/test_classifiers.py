@@ -148,3 +148,32 @@ def test_toxic_word_moves_the_score(spark, odd):
     assert scores[1] > 0.7 > scores[2]
     assert len(toxicity.score(odd, model).collect()) == odd.count()
     assert toxicity.score(odd.limit(0), model).count() == 0
+
+
+def test_language_by_a_plain_computation(spark):
+    """Scores from the n-gram counts of each whole text, without remembered words."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.learn(docs, F.col("doc_id") % 4 != 2)
+    got = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    for r in docs.collect():
+        counts = language.bucket_counts(r.text).astype(float)
+        if not counts.sum():
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        margins = counts @ model.weights * language.SCALE / counts.sum() + model.bias
+        losses = [sum(t * np.log1p(np.exp(-c * m)) for t, c, m in zip(trust, code, margins))
+                  for trust, code in zip(model.trust, model.codes)]
+        chances = np.exp(-np.array(losses)) / np.exp(-np.array(losses)).sum()
+        assert got[r.doc_id].lang_pred == model.languages[int(chances.argmax())]
+        assert abs(got[r.doc_id].score - chances.max()) < 1e-6
+
+
+def test_repeated_ids_learn_alike_in_any_partitions(spark):
+    """An id with several texts and languages counts once per language, wherever its rows lie."""
+    rows = [(i % 5, f"the text number {i} is in English", "en") for i in range(40)]
+    rows += [(i % 7, f"der Text Nummer {i} ist deutsch", "de") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one = language.learn(df.coalesce(1), F.lit(True))
+    for other in (df.repartition(7), df.orderBy("text", ascending=False)):
+        again = language.learn(other, F.lit(True))
+        assert np.array_equal(one.weights, again.weights) and one.languages == again.languages

@@ -10,11 +10,13 @@ For up to ``EXHAUSTIVE`` languages all distinct splits of the languages are bits
 pseudo-random codewords of a length that grows with the logarithm of their number.
 
 Learned from at most ``PER_LANGUAGE`` documents of each language, those with the least
-hashes of their ids; a document counts as one vector of fixed length.  Prediction reads
+hashes of their ids; an id that comes with several texts counts once per language, with the
+text of the least hash; a document counts as one vector of fixed length.  Prediction reads
 whole texts; a word's n-grams are added up once per task and word.
 
 Defined results: texts that are NULL or have no letter are ``und`` with score 0, and so
-is everything if no language is known; repeated rows are predicted each; an empty table
+is everything if no language is known; very long texts are read whole; of two languages that
+are equally near the first by name wins, and the document is ambiguous; repeated rows are predicted each; an empty table
 gives an empty result; further columns are ignored.
 """
 
@@ -179,21 +181,28 @@ def learn(docs: DataFrame, usable: Column) -> Model:
     per_lang = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
         docs.filter(usable & F.col("lang").isNotNull())
-        .select("doc_id", "lang")
+        .groupBy("lang", "doc_id")  # of a repeated id, the text of the least hash
+        .agg(F.min(F.xxhash64("text")).alias("text_key"))
         .withColumn("rank", F.row_number().over(per_lang))
         .filter(F.col("rank") <= PER_LANGUAGE)
-        .select("doc_id", F.col("lang").alias("label"))
+        .select("doc_id", "text_key", F.col("lang").alias("label"))
     )
     # ``PER_LANGUAGE`` rows per language at most
-    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
-    rows = sorted(
-        map_texts(chosen, lambda: lambda t: (bucket_counts(t).tolist(),), "counts array<float>")
-        .dropDuplicates(["doc_id"])
-        .collect(),
-        key=lambda r: (str(r.label), str(r.doc_id)),
+    rows = docs.select("doc_id", F.col("lang").alias("label"), F.xxhash64("text").alias("text_key"), "text")
+    chosen = rows.join(F.broadcast(ids), ["doc_id", "label", "text_key"]).select("doc_id", "label", "text")
+
+    def counted(text: str | None) -> tuple[bytes]:
+        return (bucket_counts(text).astype(np.float32).tobytes(),)
+
+    # vectors come as bytes: a list of numbers would take many times their size in the driver
+    found = (
+        map_texts(chosen, lambda: counted, "counts binary")
+        .dropDuplicates(["doc_id", "label"])
+        .orderBy("label", "doc_id")
+        .toArrow()
     )
-    counts = np.array([r.counts for r in rows], dtype=np.float32)
-    return fit([r.label for r in rows], counts)
+    counts = np.frombuffer(b"".join(found.column("counts").to_pylist()), dtype=np.float32)
+    return fit(found.column("label").to_pylist(), counts)
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
