@@ -207,6 +207,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None, height: int = HEIG
         leaf().alias("digest"),
         F.when(tampered, leaf(n_chars=more)).alias("changed"),
     )
+    leaves = stored(leaves, "merkle-rows")  # sorting reads twice, but not the texts
     nodes = positions(leaves, ["doc_id", "digest"], "merkle-leaves")
     largest = nodes.agg(F.max("size")).first()[0] or 0
     if not largest:

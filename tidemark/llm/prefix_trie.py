@@ -419,8 +419,9 @@ def trie(convs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     ``n_children``, ``n_leaves``, ``saved_tokens`` (bytes that sharing saves in the subtree),
     ``n_ends`` and ``ends_sha256`` (of the ids of the members that end here, ascending).
     """
+    rows = convs.select("conv_id", F.unhex(F.array_join("tokens", "")).alias("seq"), "sizes")
     ordered = (
-        convs.select("conv_id", F.unhex(F.array_join("tokens", "")).alias("seq"), "sizes")
+        stored(rows, "trie-rows")  # sorting reads twice, but not the turns
         .repartitionByRange("seq", "conv_id")
         .sortWithinPartitions("seq", "conv_id")
     )
