@@ -74,8 +74,8 @@ def medallion(spark: SparkSession) -> dict[str, float]:
         # several landing files per domain, as parallel sink tasks would leave them
         landing(spark, SF_DIR, name).repartition(int(CPUS)).write.parquet(place)
         feeds[name] = spark.read.parquet(place)
-    written = Medallion(spark, f"{root}/written", buckets=int(CPUS), materialise_silver=True)
-    lean = Medallion(spark, f"{root}/lean", buckets=int(CPUS))
+    written = Medallion(spark, f"{root}/written", materialise_silver=True)
+    lean = Medallion(spark, f"{root}/lean")
     return {
         "medallion_run_26_models": timed(lambda: written.run(feeds, feeds)),
         "medallion_checks_185": timed(lambda: drain(written.check())),

@@ -29,7 +29,7 @@ def rows(df):
 
 def test_two_batches_equal_one_history(spark, feeds, work):
     whole, first, second = feeds
-    layers = Medallion(spark, work, buckets=4)
+    layers = Medallion(spark, work)
     layers.run(first, first)
     assert layers.gold_table("payment_lifecycle").version() == 1
     layers.run(second, whole)
@@ -58,7 +58,7 @@ def test_log_contract_keeps_history(spark, feeds, work):
         [("orders", "fact", "log", "order_id", True)],
         "table_name string, table_type string, cdc_strategy string, unique_key string, active boolean",
     )
-    layers = Medallion(spark, work, contracts=contracts, buckets=4, domains=("orders",),
+    layers = Medallion(spark, work, contracts=contracts, domains=("orders",),
                        materialise_silver=True)
     layers.run(whole, whole)
     history = layers.read_silver("orders")
@@ -66,7 +66,7 @@ def test_log_contract_keeps_history(spark, feeds, work):
     assert history.count() == whole["orders"].filter("ORDER_ID IS NOT NULL").count()
 
     # back under the default contract, the copy of the history must not be served
-    again = Medallion(spark, work, buckets=4, domains=("orders",))
+    again = Medallion(spark, work, domains=("orders",))
     assert again.read_silver("orders").filter("op = 'd'").count() == 0
 
 

@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.contracts import contract_for, contracts_of
+from tidemark.operators.bronze import dedup_latest
 from tidemark.operators.monitor import firing
 from tidemark.sources.changes import read_changes, type_landing
 from tidemark.sources.envelopes import EXTRA, land_domain, read_landing
 from tidemark.sources.sinks import not_older
-from tidemark.sources.tables import Snapshot
+from tidemark.sources.tables import StoredTable
 from tidemark.spec import DOMAINS
 from tidemark.streaming.landing import read_topic_rate, run_dedup, run_landing, run_topic_rate
 
@@ -19,26 +20,9 @@ def rows_of(spark, ids, version=1, value="a"):
     return spark.createDataFrame([(i, value, version, i) for i in ids], DDL)
 
 
-def test_another_bucket_count_or_key_is_refused(spark, work):
-    Snapshot(spark, work, "id", buckets=8).merge(rows_of(spark, range(100)))
-    for other in (Snapshot(spark, work, "id", buckets=4), Snapshot(spark, work, "v", buckets=8)):
-        for use in (other.read, lambda t=other: t.merge(rows_of(spark, range(100), 2))):
-            with pytest.raises(ValueError, match="buckets and key"):
-                use()
-    assert Snapshot(spark, work, "id", buckets=8).read().count() == 100
-
-
-def test_a_table_without_key_layout_takes_no_merge(spark, work):
-    table = Snapshot(spark, work, "id", buckets=4)
-    table.overwrite(rows_of(spark, range(10)), layout="rows")
-    for change in (table.merge, table.insert_missing, table.remove):
-        with pytest.raises(ValueError, match="without a key layout"):
-            change(rows_of(spark, [1]))
-
-
 @pytest.mark.parametrize("kind", ["int", "string"])
 def test_a_returned_column_is_null_for_old_rows(spark, work, kind):
-    table = Snapshot(spark, work, "id", buckets=8)
+    table = StoredTable(spark, work, "id")
     table.merge(rows_of(spark, range(100)).withColumn("x", F.lit(7)))
     table.merge(rows_of(spark, [1], 2))  # x leaves
     table.merge(rows_of(spark, [2], 3).withColumn("x", F.lit(9).cast(kind)))  # and returns
@@ -49,14 +33,21 @@ def test_a_returned_column_is_null_for_old_rows(spark, work, kind):
     assert {r["id"] for r in table.read().filter("x IS NOT NULL").collect()} == {2, 3}
 
 
-def test_insert_missing_reads_touched_buckets_only(spark, work):
-    table = Snapshot(spark, work, "id", buckets=16)
+def test_insert_missing_keeps_stored_rows(spark, work):
+    table = StoredTable(spark, work, "id")
     table.merge(rows_of(spark, range(200)))
-    assert table.insert_missing(rows_of(spark, [5, 1000], 9, "new")) <= 2
+    table.insert_missing(rows_of(spark, [5, 1000, 1000], 9, "new"))
     got = {r["id"]: r["v"] for r in table.read().collect()}
-    assert len(got) == 201 and got[5] == "a" and got[1000] == "new"
-    touched = table._load_touched(table._commits(), table._touched(rows_of(spark, [5])))
-    assert len({f.split("bucket=")[1].split("/")[0] for f in touched.inputFiles()}) == 1
+    assert len(got) == 201 and got[5] == "a" and got[1000] == "new" and table.read().count() == 201
+
+
+def test_a_merge_is_one_shuffle(spark, work):
+    """Stored and incoming rows meet once; each task keeps its best row per key before."""
+    table = StoredTable(spark, work, "id")
+    table.merge(rows_of(spark, range(50)))
+    both = table.read().withColumn("_incoming", F.lit(0)).unionByName(rows_of(spark, [1], 2).withColumn("_incoming", F.lit(1)))
+    text = dedup_latest(both, "id", ["source_ts_ms", "kafka_offset", "_incoming"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in text.split("Exchange")[1]
 
 
 def test_typed_landing_takes_each_message_once(spark, work):

@@ -13,7 +13,7 @@ from tidemark.sources.changes import (
     topic_tables,
     unwrap_envelope,
 )
-from tidemark.sources.tables import Snapshot
+from tidemark.sources.tables import StoredTable
 from tidemark.spec import DOMAINS
 from tidemark.streaming.gate import run_gate, run_routing
 from tidemark.streaming.live import current_state, run_resolve
@@ -61,7 +61,7 @@ def test_stream_equals_batch(spark, work):
     rng.shuffle(changes)
     for stateful in (False, True):
         feed, place = f"{work}/feed{stateful}", f"{work}/table{stateful}"
-        table = Snapshot(spark, place, "id", buckets=4)
+        table = StoredTable(spark, place, "id")
         for part in range(3):
             # late and repeated messages included
             write(spark, changes[part * 40:part * 40 + 45], feed)
@@ -74,7 +74,7 @@ def test_stream_equals_batch(spark, work):
 def test_replayed_batch_changes_nothing(spark, work):
     feed = f"{work}/feed"
     write(spark, [("a", 1, "c", 1, 1, 0), ("b", 1, "c", 1, 2, 0), ("b", None, "d", 2, 3, 0)], feed)
-    table = Snapshot(spark, f"{work}/table", "id", buckets=2)
+    table = StoredTable(spark, f"{work}/table", "id")
     for attempt in range(2):  # a lost checkpoint replays everything
         stream = read_changes(spark, feed, DDL, streaming=True)
         run_resolve(stream, table, f"{work}/cp{attempt}").awaitTermination()

@@ -1,7 +1,7 @@
 """Keyed merges as DataFrame expressions.
 
-These return the new content of a table.  :class:`tidemark.sources.tables.Snapshot`
-applies the same rules to stored tables, one touched bucket at a time.
+These return the new content of a table; :class:`tidemark.sources.tables.StoredTable`
+writes it.
 """
 
 from __future__ import annotations

@@ -26,8 +26,7 @@ from tidemark.operators.quality import quality_summary
 from tidemark.operators.resolve import resolve_cdc
 from tidemark.plans import gold
 from tidemark.plans.checks import layer_suite
-from tidemark.sources.artifacts import RUN_RESULTS
-from tidemark.sources.tables import Snapshot, append_rows
+from tidemark.sources.tables import StoredTable, append_rows
 from tidemark.spec import DOMAINS, Contract
 from tidemark.streaming.live import current_state
 
@@ -46,9 +45,6 @@ GRAIN = {
 class Medallion:
     """Layered tables under ``root``.
 
-    ``buckets`` sizes the keyed tables: a merge rewrites whole buckets, so a bucket
-    should hold a few hundred megabytes to a few gigabytes.
-
     Bronze holds the newest version of every key, so an ``upsert`` Silver table is
     Bronze without its delete markers.  By default it is just that filter, read through
     to Bronze; ``materialise_silver`` writes a copy.  ``append`` and ``log`` contracts
@@ -58,23 +54,20 @@ class Medallion:
     spark: SparkSession
     root: str
     contracts: DataFrame | None = None
-    buckets: int = 16
     threads: int = 8
     materialise_silver: bool = False
     domains: tuple[str, ...] = tuple(DOMAINS)
     results: list[tuple] = field(default_factory=list)
     known: dict[str, Contract] = field(default_factory=dict)
 
-    def bronze_table(self, name: str) -> Snapshot:
-        return Snapshot(self.spark, f"{self.root}/bronze/{name}", DOMAINS[name].key, self.buckets)
+    def bronze_table(self, name: str) -> StoredTable:
+        return StoredTable(self.spark, f"{self.root}/bronze/{name}", DOMAINS[name].key)
 
-    def silver_table(self, name: str) -> Snapshot:
-        return Snapshot(self.spark, f"{self.root}/silver/{name}", DOMAINS[name].key, self.buckets)
+    def silver_table(self, name: str) -> StoredTable:
+        return StoredTable(self.spark, f"{self.root}/silver/{name}", DOMAINS[name].key)
 
-    def gold_table(self, name: str) -> Snapshot:
-        # a report per stage has at most one row per declared stage
-        buckets = 1 if GRAIN[name] == "event_name" else self.buckets
-        return Snapshot(self.spark, f"{self.root}/gold/{name}", GRAIN[name], buckets)
+    def gold_table(self, name: str) -> StoredTable:
+        return StoredTable(self.spark, f"{self.root}/gold/{name}", GRAIN[name])
 
     # ----------------------------------------------------------------- layers
     def build_bronze(self, name: str, batch: DataFrame) -> None:
@@ -100,10 +93,10 @@ class Medallion:
             rows = resolve_cdc(
                 normalise(landing, DOMAINS[name]), contract.cdc_strategy, contract.unique_key
             )
-            self.silver_table(name).overwrite(rows, layout="rows")
+            self.silver_table(name).overwrite(rows)
         elif self.materialise_silver:
             rows = current_state(self.bronze_table(name))
-            self.silver_table(name).overwrite(rows, layout="kept")
+            self.silver_table(name).overwrite(rows)
 
     def read_silver(self, name: str) -> DataFrame:
         """A Silver table: the written copy, or Bronze without delete markers."""
@@ -182,29 +175,20 @@ class Medallion:
 
     def log(self, run_id: str) -> DataFrame:
         """Append this run to the processing log and return its rows."""
-        documents = [
-            (
-                (run_id,),
-                [
-                    (
-                        f"model.tidemark.{name}",
-                        status,
-                        seconds,
-                        message,
-                        [
-                            (
-                                "execute",
-                                began.isoformat(),
-                                (began + timedelta(seconds=seconds)).isoformat(),
-                            )
-                        ],
-                    )
-                    for name, status, message, began, seconds in self.results
-                ],
-            )
-        ]
-        results = self.spark.createDataFrame(documents, RUN_RESULTS).select(
-            F.col("metadata.invocation_id").alias("invocation_id"), F.inline("results")
+        results = self.spark.createDataFrame(
+            [
+                (
+                    run_id,
+                    f"model.tidemark.{name}",
+                    status,
+                    seconds,
+                    message,
+                    [("execute", began.isoformat(), (began + timedelta(seconds=seconds)).isoformat())],
+                )
+                for name, status, message, began, seconds in self.results
+            ],
+            "invocation_id string, unique_id string, status string, execution_time double, message string, "
+            "timing array<struct<name:string,started_at:string,completed_at:string>>",
         )
         rows = processing_log(
             results, layer_row_counts(self.tables()), run_id, F.current_timestamp()

@@ -12,7 +12,7 @@ from tidemark.functions import digits_modulo
 from tidemark.operators.bronze import dedup_latest
 from tidemark.operators.merge import union_by_name
 from tidemark.operators.ranking import global_rank
-from tidemark.sources.tables import Snapshot
+from tidemark.sources.tables import StoredTable
 from tidemark.spec import DOMAINS, DomainSpec
 
 BATCHES = ("initial", "incremental", "all")
@@ -130,7 +130,7 @@ def export_summary(
 def upsert_exports(
     spark: SparkSession,
     directory: str,
-    targets: Mapping[str, Snapshot],
+    targets: Mapping[str, StoredTable],
     batch: str = "all",
 ) -> None:
     """Load a batch into one stored table per domain; loaded rows replace older ones."""

@@ -1,7 +1,7 @@
 """Upserts into catalog tables whose format can MERGE.
 
-Plain Parquet cannot; for it :class:`tidemark.sources.tables.Snapshot` rewrites the
-buckets that a batch touches.
+Plain Parquet cannot; for it :class:`tidemark.sources.tables.StoredTable` writes the whole
+table anew.
 """
 
 from __future__ import annotations

@@ -1,326 +1,86 @@
-"""Versioned Parquet tables.
+"""Keyed tables in plain Parquet.
 
-Plain Parquet has no transactional update, so a table here is a directory of
-immutable data files plus a small commit log::
+A write is one Spark job that leaves a new directory beside the ones before::
 
-    <path>/data/version=7/bucket=12/part-*.parquet
-    <path>/log/*.json            one row per bucket a version wrote
+    <path>/v00000007/part-*.parquet, _SUCCESS
 
-A reader takes, for every bucket, the newest committed version.  A commit is one
-file that appears at the very end, so readers see the old or the new table and a job
-that dies half way leaves nothing visible.  A merge rewrites only the buckets its
-keys fall into.  One writer per table at a time.
+Spark writes ``_SUCCESS`` last, so a reader, who takes the newest directory that has one,
+sees the old or the new table, and a job that dies leaves nothing visible.  Older directories
+stay for readers that began before, until someone removes them.  One writer at a time.
 
-The log holds one row per rewritten bucket; what the driver reads back is one row per
-bucket, a number fixed when the table is created.
+A merge reads and writes the whole table.  Where batches are small and tables are not, use a
+format that can MERGE, by :func:`tidemark.sources.sinks.merge_into`.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions import TRACE_COLUMNS
 from tidemark.operators.bronze import dedup_latest
-from tidemark.operators.merge import remove_keys, sync_columns, union_by_name
+from tidemark.operators.merge import merge_insert_missing, remove_keys, sync_columns
 
-#: A bucket number is a position in one bitmap aggregate.
-MAX_BUCKETS = 32_768
 
-_LOG = (
-    "version long, bucket int, filled boolean, reset boolean, schema string, "
-    "buckets int, key string, layout string"
-)
+class StoredTable:
+    """One keyed table at ``path``."""
 
-#: Touched buckets up to which each gets a task number of its own.
-_FEW = 256
-#: Field metadata: the version since which a column has always been there.
-_SINCE = "since"
-
-
-class Snapshot:
-    """One keyed table at ``path``.
-
-    ``buckets`` bounds how much a merge has to rewrite; ``files_per_bucket`` is the
-    number of tasks, and files, one bucket is written with.  A table keeps the key and
-    the bucket count it was created with; opening it with others is an error.
-    """
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        key: str,
-        buckets: int = 64,
-        files_per_bucket: int = 1,
-    ) -> None:
-        if not 0 < buckets <= MAX_BUCKETS:
-            raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
+    def __init__(self, spark: SparkSession, path: str, key: str) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
-        self.buckets = buckets
-        self.files_per_bucket = files_per_bucket
 
     # ---------------------------------------------------------------- reading
-    def _commits(self) -> list[Row]:
-        """Newest committed state per bucket since the last full replacement."""
-        state = F.struct("version", "filled", "schema", "buckets", "key", "layout")
-        newest = F.max_by(state, "version")
-        replaced = F.max(F.when(F.col("reset"), F.col("version")))
-        try:
-            buckets = (
-                self.spark.read.schema(_LOG)
-                .json(f"{self.path}/log")
-                .groupBy("bucket")
-                .agg(newest.alias("state"), replaced.alias("replaced"))
-                .select("bucket", "state.*", "replaced")
-                .collect()
-            )
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        start = max(row["replaced"] or 0 for row in buckets)
-        commits = [row for row in buckets if row["version"] >= start]
-        last = max(commits, key=lambda row: row["version"])
-        if (last["buckets"], last["key"]) != (self.buckets, self.key):
-            raise ValueError(
-                f"the table at {self.path} has {last['buckets']} buckets and key {last['key']}, "
-                f"not {self.buckets} and {self.key}"
-            )
-        return commits
-
-    def _mergeable(self) -> list[Row]:
-        """Commits of a table whose rows lie in the bucket of their key."""
-        commits = self._commits()
-        if any(row["layout"] == "rows" for row in commits):
-            raise ValueError(f"the table at {self.path} was written without a key layout")
-        return commits
+    def version(self) -> int:
+        """Number of the newest complete directory; 0 for a table never written."""
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/_SUCCESS")
+        found = done.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(done)
+        return max((int(f.getPath().getParent().getName()[1:]) for f in found or ()), default=0)
 
     def exists(self) -> bool:
-        return bool(self._commits())
+        return self.version() > 0
 
-    def version(self) -> int:
-        """Number of the newest commit; 0 for a table never written."""
-        return _newest(self._commits())
+    def _place(self, version: int) -> str:
+        return f"{self.path}/v{version:08d}"
 
     def read(self) -> DataFrame:
-        """The whole table as of the newest commit."""
-        commits = self._commits()
-        if not commits:
-            raise FileNotFoundError(f"no committed version at {self.path}")
-        return self._load(commits, commits)
-
-    def _load(self, commits: list[Row], wanted: list[Row]) -> DataFrame:
-        """The wanted buckets in the newest schema.
-
-        A column counts from the version in which it (last) came to the table: buckets
-        written before have it NULL, also if an older column had the same name.
-        """
-        schema = _schema(commits)
-        since = {f.name: f.metadata[_SINCE] for f in schema}
-        places: dict[tuple[str, ...], list[str]] = {}
-        for row in wanted:
-            if row["filled"]:
-                there = tuple(name for name in schema.names if since[name] <= row["version"])
-                place = f"{self.path}/data/version={row['version']}/bucket={row['bucket']}"
-                places.setdefault(there, []).append(place)
-        plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-        parts = [
-            sync_columns(
-                self.spark.read.schema(T.StructType([plain[name] for name in there])).parquet(*paths),
-                plain,
-            )
-            for there, paths in places.items()
-        ]
-        return union_by_name(parts) if parts else self.spark.createDataFrame([], plain)
+        """The whole table as it is now."""
+        version = self.version()
+        if not version:
+            raise FileNotFoundError(f"no complete table at {self.path}")
+        return self.spark.read.parquet(self._place(version))
 
     # ---------------------------------------------------------------- writing
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def _spread(self, df: DataFrame, touched: Sequence[int] | None = None) -> DataFrame:
-        """Bring the rows of a bucket together, in ``files_per_bucket`` tasks of its own."""
-        part = F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.files_per_bucket)).cast("int")
-        placed = df.withColumns({"bucket": self._bucket(), "_part": part})
-        place, places = F.col("bucket"), self.buckets
-        if touched is not None and len(touched) <= _FEW:
-            known = F.array(*(F.lit(bucket) for bucket in touched))
-            place, places = F.array_position(known, F.col("bucket")).cast("int") - 1, len(touched)
-        return placed.repartitionById(
-            max(1, places * self.files_per_bucket), place * self.files_per_bucket + F.col("_part")
-        )
-
-    def _write(
-        self,
-        placed: DataFrame,
-        commits: list[Row],
-        touched: Sequence[int] | None,
-        layout: str = "key",
-    ) -> None:
-        """Write rows that carry their ``bucket`` and commit them as the next version.
-
-        ``touched=None`` replaces the table.  Which buckets received rows is observed
-        while writing, so the commit needs no second look at the data.
-        """
-        rows = placed.drop("_part")
-        version = _newest(commits) + 1
-        before = {} if touched is None else {f.name: f for f in _schema(commits)}
-        schema = T.StructType(
-            [
-                T.StructField(
-                    f.name,
-                    f.dataType,
-                    metadata={
-                        _SINCE: before[f.name].metadata[_SINCE] if f.name in before else version
-                    },
-                )
-                for f in rows.schema
-                if f.name != "bucket"
-            ]
-        )
-        seen = Observation()
-        (
-            rows.observe(seen, F.bitmap_construct_agg(F.col("bucket").cast("bigint")).alias("filled"))
-            .write.partitionBy("bucket")
-            .mode("overwrite")
-            .parquet(f"{self.path}/data/version={version}")
-        )
-        filled = _bits(seen.get["filled"])
-        # bucket -1 stands for the commit itself, so that an empty table exists too
-        lines = [
-            (
-                version,
-                bucket,
-                bucket in filled,
-                touched is None,
-                schema.json(),
-                self.buckets,
-                self.key,
-                layout,
-            )
-            for bucket in sorted(filled | set(touched or ()) | {-1})
-        ]
-        commit = self.spark.createDataFrame(lines, _LOG).coalesce(1)
-        commit.write.mode("append").json(f"{self.path}/log")
-
-    def overwrite(self, df: DataFrame, layout: str = "key") -> None:
-        """Replace the whole table.
-
-        ``layout`` says how rows find their bucket:
-
-        ``key``    by a shuffle on the key
-        ``kept``   ``df`` reads a table with the same key and buckets, whose rows already
-                   lie together; written without a shuffle
-        ``rows``   every task fills one bucket, whatever the keys; for histories, in which
-                   one key may hold a large share of the rows.  Such a table can be
-                   replaced and read, but not merged into.
-        """
-        if layout == "key":
-            placed = self._spread(df)
-        elif layout == "kept":
-            placed = df.withColumn("bucket", self._bucket())
-        elif layout == "rows":
-            placed = df.withColumn("bucket", F.spark_partition_id() % self.buckets)
-        else:
-            raise ValueError(f"unknown layout {layout!r}; expected key, kept or rows")
-        self._write(placed, self._commits(), None, layout)
-
-    def merge(self, updates: DataFrame, order: Sequence[str] = TRACE_COLUMNS) -> int:
-        """Insert new keys, replace older versions; returns the number of buckets written.
-
-        Columns follow ``updates``.  The batch is reduced to one row per key first;
-        stored and incoming rows of a bucket then meet in a single shuffle.  Applying
-        the same batch again changes nothing, so a stream may replay it after a
-        failure.  With an empty ``order`` incoming rows always win; they must be unique.
+    def overwrite(self, df: DataFrame) -> None:
+        """Replace the whole table."""
+        df.write.mode("overwrite").parquet(self._place(self.version() + 1))
+
+    def merge(self, updates: DataFrame, order: Sequence[str] = TRACE_COLUMNS) -> None:
+        """Insert new keys, replace older versions.
+
+        Columns follow ``updates``: a new one is NULL in stored rows, one that is missing
+        leaves the table.  Stored and incoming rows of a key meet in one shuffle, before which
+        each task keeps its best row per key.  Applying the same batch again changes nothing,
+        so a stream may replay it after a failure.  With an empty ``order`` incoming rows
+        always win; they must be unique.
         """
-        batch = dedup_latest(updates, self.key, order) if order else updates
-        commits = self._mergeable()
-        if not commits:
-            self._write(self._spread(batch), commits, None)
-            return self.buckets
-        # the keys before deduplication are the same and need one narrow scan only
-        touched = self._touched(updates)
-        if touched:
-            both = (
-                sync_columns(self._load_touched(commits, touched), batch)
-                .withColumn("_incoming", F.lit(0))
-                .unionByName(batch.withColumn("_incoming", F.lit(1)))
-            )
-            merged = dedup_latest(
-                self._spread(both, touched),
-                ["bucket", "_part", self.key],
-                [*order, "_incoming"],
-            )
-            self._write(merged.drop("_incoming"), commits, touched)
-        return len(touched)
-
-    def insert_missing(self, source: DataFrame) -> int:
-        """Add rows whose key is absent; returns the number of buckets written.
-
-        Only the buckets of the source's keys are read; stored and new rows of a bucket
-        meet in one shuffle, where a stored row comes first.
-        """
-        commits = self._mergeable()
-        if not commits:
-            self._write(self._spread(source.dropDuplicates([self.key])), commits, None)
-            return self.buckets
-        touched = self._touched(source)
-        if touched:
-            both = (
-                sync_columns(self._load_touched(commits, touched), source)
-                .withColumn("_stored", F.lit(1))
-                .unionByName(source.withColumn("_stored", F.lit(0)))
-            )
-            grown = dedup_latest(
-                self._spread(both, touched), ["bucket", "_part", self.key], ["_stored"]
-            )
-            self._write(grown.drop("_stored"), commits, touched)
-        return len(touched)
-
-    def remove(self, keys: DataFrame) -> int:
-        """Delete the listed keys; returns the number of buckets written."""
-        commits = self._mergeable()
-        touched = self._touched(keys) if commits else []
-        if touched:
-            left = remove_keys(self._load_touched(commits, touched), keys, self.key)
-            self._write(self._spread(left, touched), commits, touched)
-        return len(touched)
-
-    def _touched(self, rows: DataFrame) -> list[int]:
-        found = rows.select(self._bucket().alias("bucket")).distinct().collect()
-        return sorted(row["bucket"] for row in found)
-
-    def _load_touched(self, commits: list[Row], touched: Sequence[int]) -> DataFrame:
-        wanted = set(touched)
-        return self._load(commits, [row for row in commits if row["bucket"] in wanted])
-
-
-def _schema(commits: list[Row]) -> T.StructType:
-    """The schema of the newest commit."""
-    newest = max(commits, key=lambda row: row["version"])
-    return T.StructType.fromJson(json.loads(newest["schema"]))
-
-
-def _newest(commits: list[Row]) -> int:
-    return max((row["version"] for row in commits), default=0)
-
-
-def _bits(bitmap: bytes | None) -> set[int]:
-    """Positions of the set bits of a bitmap aggregate."""
-    return {
-        8 * place + bit
-        for place, byte in enumerate(bitmap or b"")
-        if byte
-        for bit in range(8)
-        if byte >> bit & 1
-    }
+        rows = updates.withColumn("_incoming", F.lit(1))
+        if self.exists():
+            stored = sync_columns(self.read(), updates).withColumn("_incoming", F.lit(0))
+            rows = stored.unionByName(rows)
+        self.overwrite(dedup_latest(rows, self.key, [*order, "_incoming"]).drop("_incoming"))
+
+    def insert_missing(self, source: DataFrame) -> None:
+        """Add rows whose key is absent."""
+        new = source.dropDuplicates([self.key])
+        self.overwrite(merge_insert_missing(sync_columns(self.read(), source), new, self.key) if self.exists() else new)
+
+    def remove(self, keys: DataFrame) -> None:
+        """Delete the listed keys."""
+        if self.exists():
+            self.overwrite(remove_keys(self.read(), keys, self.key))
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidemark.functions import TRACE_COLUMNS, is_delete
 from tidemark.operators.bronze import drop_tombstones
 from tidemark.operators.resolve import latest_versions
-from tidemark.sources.tables import Snapshot
+from tidemark.sources.tables import StoredTable
 
 
 def stream_latest(
@@ -26,7 +26,7 @@ def stream_latest(
 
 def run_resolve(
     stream: DataFrame,
-    target: Snapshot,
+    target: StoredTable,
     checkpoint: str,
     order: Sequence[str] = TRACE_COLUMNS,
     stateful: bool = False,
@@ -54,6 +54,6 @@ def run_resolve(
     )
 
 
-def current_state(target: Snapshot) -> DataFrame:
+def current_state(target: StoredTable) -> DataFrame:
     """Live rows of a resolved table, delete markers removed."""
     return target.read().filter(~is_delete())

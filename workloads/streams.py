@@ -16,13 +16,13 @@ from tidemark.operators import bronze as b
 from tidemark.operators.merge import union_by_name
 from tidemark.sources.changes import read_changes
 from tidemark.sources.envelopes import read_landing
-from tidemark.sources.tables import Snapshot
+from tidemark.sources.tables import StoredTable
 from tidemark.sources.workdir import shared_dir
 from tidemark.streaming.gate import run_gate
 from tidemark.streaming.landing import read_topic_rate, run_dedup, run_landing, run_topic_rate
 from tidemark.streaming.live import current_state, run_resolve
 from tidemark.spec import DOMAINS
-from workloads.layers import _LATEST_USER, EVENTS_DDL, LANDED
+from workloads.layers import _LATEST_USER, _SPLIT_MS, EVENTS_DDL, LANDED
 from workloads.layers import ORACLES as LAYER_ORACLES
 from workloads.layers import _split, envelope_feed, landed_rows, user_changes, user_feed
 
@@ -61,7 +61,7 @@ def run_live(
 def stream_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live current state through the version-guarded merge."""
     work = shared_dir(spark, "stream-resolve")
-    target = Snapshot(spark, f"{work}/table", "user_id", buckets=8)
+    target = StoredTable(spark, f"{work}/table", "user_id")
     run_live(
         spark, sf_dir, work, lambda feed: run_resolve(user_changes(feed), target, f"{work}/checkpoint")
     )
@@ -75,7 +75,7 @@ ORACLES["stream_resolve"] = LAYER_ORACLES["resolve_upsert"]
 def stream_resolve_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live current state with the newest version kept in stream state."""
     work = shared_dir(spark, "stream-state")
-    target = Snapshot(spark, f"{work}/table", "user_id", buckets=8)
+    target = StoredTable(spark, f"{work}/table", "user_id")
     run_live(
         spark,
         sf_dir,
@@ -162,25 +162,27 @@ FROM events GROUP BY 1, 2"""
 def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored batches, the newer one first, with a column that leaves and returns.
 
-    ``mark`` is 1 in the first batch, missing in the second and 2 for the users of the
-    third, a repetition; a returned column is NULL for rows that were written before.
+    ``mark`` is 1 in the first batch, missing in the second and 2 in the third, which is the
+    second again; a returned column is NULL for rows that the third batch did not bring.
     """
     work = shared_dir(spark, "snapshot-merge")
-    target = Snapshot(spark, f"{work}/table", "user_id", buckets=8)
+    target = StoredTable(spark, f"{work}/table", "user_id")
     early, late = _split(b.drop_tombstones(user_feed(spark, sf_dir), "user_id"))
     target.merge(late.withColumn("mark", F.lit(1)))
     target.merge(early)
-    target.merge(early.filter("user_id % 8 = 0").withColumn("mark", F.lit(2)))
-    return target.read().drop("mark")
+    target.merge(early.withColumn("mark", F.lit(2)))
+    return target.read()
 
 
 QUERIES["snapshot_merge"] = snapshot_merge
-ORACLES["snapshot_merge"] = _LATEST_USER
+ORACLES["snapshot_merge"] = (
+    f"SELECT *, CASE WHEN kafka_created_at < {_SPLIT_MS} THEN 2 END AS mark FROM ({_LATEST_USER}) l"
+)
 
 
 def table_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table that is replaced as a whole, then read."""
-    target = Snapshot(spark, f"{shared_dir(spark, 'rebuild')}/table", "user_id", buckets=8)
+    target = StoredTable(spark, f"{shared_dir(spark, 'rebuild')}/table", "user_id")
     early, _ = _split(b.drop_tombstones(user_feed(spark, sf_dir), "user_id"))
     target.overwrite(b.dedup_latest(early, "user_id"))
     target.overwrite(b.dedup_latest(b.drop_tombstones(user_feed(spark, sf_dir), "user_id"), "user_id"))
