@@ -177,3 +177,52 @@ def test_repeated_ids_learn_alike_in_any_partitions(spark):
     for other in (df.repartition(7), df.orderBy("text", ascending=False)):
         again = language.learn(other, F.lit(True))
         assert np.array_equal(one.weights, again.weights) and one.languages == again.languages
+
+
+def test_toxicity_by_a_plain_computation(spark):
+    """Embeddings, filters, maxima and the logistic layer, word by word, for each whole text."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = toxicity.learn(docs, labels, F.col("doc_id") % 3 != 1)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for r in docs.limit(60).collect():
+        words = toxicity.WORD.findall(r.text.lower()) or [None]
+        vectors = [
+            sum((model.table[b] for b in toxicity.buckets_of(w) if b >= 0), np.zeros(toxicity.DIMS)) if w
+            else np.zeros(toxicity.DIMS) for w in words
+        ]
+        vectors += [np.zeros(toxicity.DIMS)] * (max(toxicity.WIDTHS) - 1)
+        logit = model.bias
+        for n, w in enumerate(toxicity.WIDTHS):
+            places = range(len(vectors) - max(toxicity.WIDTHS) + 1)
+            for f in range(toxicity.FILTERS):
+                best = max(
+                    sum(vectors[p + j] @ model.filters[w][j][:, f] for j in range(w)) + model.offsets[w][f]
+                    for p in places
+                )
+                logit += max(best, 0.0) * model.out[n * toxicity.FILTERS + f]
+        assert abs(got[r.doc_id].score - model.score(logit, got[r.doc_id].language)) < 1e-3
+
+
+def test_cuts_move_from_the_common_one_with_evidence():
+    """No language jumps from one threshold to another: each document moves it a little."""
+    model = toxicity.fit([(f"{w} word{i % 7}", i % 2) for i in range(400) for w in ("the",)])
+    assert set(model.cut) == {"all", "en"}
+    sample = [("the nice day", 0), ("the vile day", 1)] * 100 + [("der nette Tag", 0)] * 50
+    for extra in (0, 5, 40):
+        model = toxicity.fit(sample + [("der vile Tag und das", 1)] * extra)
+        held = sum(1 for i in range(len(sample), len(sample) + extra) if i % 5 == 0)
+        assert ("de" in model.cut) == bool(held)
+
+
+def test_the_sample_does_not_depend_on_partitions(spark):
+    """Of an id with several texts the one of the least hash is learned from."""
+    from tidemark.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(i % 10, f"text {i}") for i in range(60)] + [(3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)] + [(4, 0)], "doc_id long, toxic int")
+    first = None
+    for other in (docs.coalesce(1), docs.repartition(9), docs.orderBy("text", ascending=False)):
+        rows = sorted(map(tuple, labelled_sample(other, labels, "toxic", F.lit(True), 8).collect()))
+        first = first or rows
+        assert rows == first and len(rows) == 8

@@ -165,7 +165,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     """``doc_id``, ``label`` and ``text`` of at most ``rows`` labelled documents.
 
     The ids with the least hashes are taken among those for which ``usable`` holds, so the
-    sample is the same whatever the partitions.  Of repeated ids one text is taken.
+    sample is the same whatever the partitions.  Of a repeated id the text of the least hash
+    is taken.
     """
     ids = (
         labels.filter(usable & F.col(label).isNotNull())
@@ -177,8 +178,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     return (
         docs.select("doc_id", "text")
         .join(F.broadcast(ids), "doc_id")  # ``rows`` rows at most
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", F.col("label").cast("int").alias("label"), "text")
+        .groupBy("doc_id")
+        .agg(F.first("label").cast("int").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
     )
 
 
