@@ -43,7 +43,7 @@ def frames(spark, batches):
     return [spark.createDataFrame(b, DDL) for b in batches]
 
 
-@pytest.mark.parametrize("n", range(1, len(BATCHES) + 1))
+@pytest.mark.parametrize("n", [2, 3, len(BATCHES)])
 def test_every_state_is_the_full_report(spark, work, n):
     target = apply_all(PaymentsByStatus(spark, work, buckets=2), frames(spark, BATCHES[:n]))
     whole = spark.createDataFrame([r for b in BATCHES[:n] for r in b], DDL)

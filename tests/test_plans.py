@@ -1,7 +1,7 @@
 """Physical plans: what must hold at any size."""
 
 import pytest
-from support import SF
+from support import SF, plan, single_task_steps
 
 from tidemark.operators.aggregates import share_of_total
 from tidemark.operators.bronze import bronze, dedup_latest
@@ -14,35 +14,6 @@ from workloads.layers import silver, user_feed
 from workloads.registry import QUERIES
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def single_task_steps(text):
-    """Operators between each single-partition exchange and the next exchange above it."""
-    lines = text.splitlines()
-    depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
-    for at, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            level = depth[at]
-            for above in range(at - 1, -1, -1):
-                if depth[above] < level:
-                    level = depth[above]
-                    if "Exchange" in lines[above]:
-                        break
-                    yield lines[above].lstrip(" :+-*()0123456789").split(" ")[0]
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_pairwise_join_and_no_python(spark, name):
-    text = plan(QUERIES[name](spark, SF))
-    for operator in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "FlatMapGroups"):
-        assert operator not in text
-    # nothing is sorted or windowed in one task but the seven stages of the funnel
-    if name != "payment_funnel":
-        assert not {"Window", "Sort"} & set(single_task_steps(text))
-
-
 def test_single_task_steps_are_seen(spark):
     assert "Window" in set(single_task_steps(plan(QUERIES["payment_funnel"](spark, SF))))
 
