@@ -10,7 +10,8 @@ round would be quadratic, take the same merges from a heap over a linked list.
 
 A piece that is itself in the table is one token.  Decoding joins the bytes of the ids.
 
-Defined results: NULL and empty texts have no tokens; repeated rows are encoded each; an
+Defined results: NULL and empty texts have no tokens; very long texts and pieces are encoded
+whole; of pairs of equal rank the leftmost merges first; repeated rows are encoded each; an
 empty table gives an empty result; no special tokens exist, their strings are ordinary
 text; further columns of the input are ignored.
 """

@@ -7,12 +7,14 @@ theirs, so a document has few fingerprints (two in w + 1 words for w grams a win
 every shared window is found.  Fingerprints of documents and items are joined; a hit is
 extended to the windows around it, which count only if all their words are equal.
 
-Only DataFrame operations are used.  Documents pass two times and without a shuffle of
-texts; the sides that are broadcast come from the benchmark and are counted first.
+Only DataFrame operations are used.  Documents pass once for their word counts and once for
+each window length that occurs (one, where no item is shorter than a window), without a
+shuffle of texts; the sides that are broadcast come from the benchmark and are counted first.
 
 Defined results: NULL texts have no words; items without words are ignored, items
-without id mark words but are not listed; repeated rows get equal results; empty tables
-give no hits; further columns are ignored.
+without id mark words but are not listed; very long texts are searched whole; of windows with
+equal fingerprints those with equal words count; items are listed in the order of their ids
+as text; repeated rows get equal results; empty tables give no hits; further columns are ignored.
 """
 
 from __future__ import annotations

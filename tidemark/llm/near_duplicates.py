@@ -13,7 +13,8 @@ with its number of links and the least node it hangs together with.  A pair is l
 only in the first tree in which it shares a prefix, and nodes without such a pair in a
 block do not go on to it.  Links are verified on the whole sets (64-bit hashes).
 
-Defined results: texts without words link with nothing, each is a class of its own;
+Defined results: texts without words link with nothing, each is a class of its own; very
+long texts are read whole; ties are broken by the least id;
 repeated rows and equal texts are copies of one class; rows with a NULL id are compared
 too, a class is named by its least id; an empty table gives an empty result; further
 columns are ignored.

@@ -10,7 +10,8 @@ documents.
 Only DataFrame operations are used.  Spans are in code points, end exclusive: the texts
 between and in the matches of a rule, measured and added up, give their places.
 
-Defined results: NULL and empty texts have no spans; repeated rows get equal results; an
+Defined results: NULL and empty texts have no spans; very long texts are searched whole;
+spans that begin at one place are listed in the order of the rules; repeated rows get equal results; an
 empty table gives an empty result; further columns are ignored.
 """
 
