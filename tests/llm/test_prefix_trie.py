@@ -7,8 +7,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
-
 from tests.llm.conftest import SF_SMALL
 from tidemark.llm import prefix_trie
 from tidemark.llm.queries import QUERIES
