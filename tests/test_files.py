@@ -4,8 +4,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from tidemark.operators.ranking import global_rank
 from tidemark.sources.artifacts import broken_run_results, read_run_results
 from tidemark.sources.exports import select_files
