@@ -226,3 +226,21 @@ def test_the_sample_does_not_depend_on_partitions(spark):
         rows = sorted(map(tuple, labelled_sample(other, labels, "toxic", F.lit(True), 8).collect()))
         first = first or rows
         assert rows == first and len(rows) == 8
+
+
+def test_toxicity_learns_from_every_label(spark, monkeypatch):
+    """A toxic word that only one of very many documents has is learned, in more parts than one."""
+    monkeypatch.setattr(toxicity, "PART", 100)
+    rows = [(i, f"word{i % 40} " * 6 + ("horrid" if i % 4 == 0 else f"word{i % 31}"), int(i % 4 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen = []
+    real = toxicity.averaged
+    monkeypatch.setattr(toxicity, "averaged", lambda r, *a: seen.append(r.count()) or real(r, *a))
+    one = toxicity.learn(df, df.select("doc_id", "toxic"), F.lit(True))
+    assert len(seen) == 1 + toxicity.ROUNDS and seen[0] < seen[1] == seen[2]
+    kept = sum(1 for r in df.select(F.pmod(F.xxhash64("doc_id"), F.lit(toxicity.HELD)).alias("k")).collect() if r.k == 0)
+    assert seen[1] == 600 - kept
+    again = toxicity.learn(df.repartition(5), df.select("doc_id", "toxic"), F.lit(True))
+    assert np.array_equal(one.table, again.table) and one.cut == again.cut
+    got = {r.doc_id: r.score for r in toxicity.score(df, one).collect()}
+    assert all((got[i] >= toxicity.THRESHOLD) == bool(t) for i, _, t in rows)
