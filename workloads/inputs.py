@@ -37,6 +37,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt by ``key`` over three tasks a core.
+
+    A table may be one file with one row group, which one task reads; what costs much per row
+    (JSON made, parsed and typed) is dealt before it is done, while rows are small.
+    """
+    return rows.repartition(3 * rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 @dataclass(frozen=True)
 class Feed:
     """How one domain's feed is derived from a driver table."""
@@ -294,10 +303,14 @@ def _payload_sql(domain: str, dialect: str) -> list[tuple[str, str]]:
     return columns
 
 
-def landing(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
-    """Landing form of a domain's feed: upper-case columns, metadata struct."""
+def landing(spark: SparkSession, sf_dir: str, domain: str, dealt: bool = False) -> DataFrame:
+    """Landing form of a domain's feed: upper-case columns, metadata struct.
+
+    With ``dealt`` source rows are first spread over all cores.
+    """
     feed = FEEDS[domain]
-    numbered = table(spark, sf_dir, feed.table).selectExpr(
+    rows = table(spark, sf_dir, feed.table)
+    numbered = (spread(rows, rows.columns[0]) if dealt else rows).selectExpr(
         "*",
         f"CAST({feed.row} AS BIGINT) AS row_no",
         f"CAST({feed.position} AS BIGINT) AS sequence_no",

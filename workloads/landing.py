@@ -14,7 +14,7 @@ from tidemark.sources.exports import export_summary, load_exports
 from tidemark.sources.workdir import shared_dir
 from tidemark.spec import DOMAINS
 from workloads.governance import run_results
-from workloads.inputs import landing, landing_sql, table, union_all
+from workloads.inputs import landing, landing_sql, spread, table, union_all
 from workloads.layers import LANDED, envelope_feed
 from workloads.sql import rounded
 
@@ -259,7 +259,7 @@ def enriched_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"never":null'),
     ]
     value = F.concat(F.lit('{"after":{'), F.concat_ws(",", *fields), F.lit('},"op":"c","source":{"ts_ms":1}}'))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         F.lit(DOMAINS["search_events"].topic).alias("topic"),
         value.alias("value"),
         n.alias("kafka_offset"),
