@@ -153,3 +153,15 @@ def test_only_batches_with_the_same_offsets_are_read_again(spark, work):
     assert sorted((r[1], r[2]) for r in late.collect()) == [(0, 900), (1, 3)]
     text = late._jdf.queryExecution().executedPlan().toString()
     assert " IN (2,3,4)" in text.split("PartitionFilters")[1][:120]
+
+
+def test_feeds_of_one_file_are_made_by_many_tasks(spark, sf_dir):
+    """JSON is made, parsed and typed on all cores, however few files a table has."""
+    from workloads.inputs import table
+    from workloads.landing import enriched_feed
+    from workloads.layers import envelope_feed
+
+    cores = spark.sparkContext.defaultParallelism
+    assert table(spark, sf_dir, "events").rdd.getNumPartitions() < cores
+    assert enriched_feed(spark, sf_dir).rdd.getNumPartitions() >= cores
+    assert envelope_feed(spark, sf_dir).rdd.getNumPartitions() >= cores

@@ -166,7 +166,7 @@ def envelope_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for name in LANDED:
         spec = DOMAINS[name]
-        rows = landing(spark, sf_dir, name)
+        rows = landing(spark, sf_dir, name, dealt=True)
         image = F.struct(
             *[F.col(identifier(f.name)).cast(f.dataType).alias(f.name) for f in spec.source_schema],
             F.lit("gold").alias("loyalty"),
