@@ -280,3 +280,14 @@ def test_processing_log(spark, tmp_path):
     assert short.filter("dbt_model = 'gold_x'").collect()[0]["error_message"] == "m" * 2000
     assert (stray["layer"], stray["status"], stray["error_message"]) == ("other", "error", None)
     assert ok["dbt_invocation_id"] == "i1"
+
+
+def test_the_log_joins_only_what_it_keeps(spark, sf_dir):
+    """Messages of runs that did not fail, and times the log does not show, never reach the join."""
+    from workloads.governance import run_results
+
+    none = spark.createDataFrame([], "model string, rows_processed long")
+    logged = processing_log(run_results(spark, sf_dir), none, "run", F.lit(None).cast("timestamp"))
+    above, join, _ = logged._jdf.queryExecution().optimizedPlan().toString().partition("Join LeftOuter")
+    assert join and "timing" not in above and "repeat(" not in above and "startsWith" not in above.lower()
+    assert "element_at" not in above

@@ -45,27 +45,30 @@ def processing_log(
     message = F.coalesce("message", F.lit(""))
     if message_width is not None:
         message = F.substring(message, 1, message_width)
-    return (
-        results.filter(F.col("unique_id").startswith("model."))
-        .withColumn("dbt_model", model)
-        .join(row_counts.withColumnRenamed("model", "dbt_model"), "dbt_model", "left")
-        .select(
-            table.alias("table_name"),
-            _layer(F.col("dbt_model")).alias("layer"),
-            "dbt_model",
-            F.coalesce("invocation_id", F.lit("unknown")).alias("dbt_invocation_id"),
-            F.lit(run_id).alias("run_id"),
-            F.when(F.col("status") == "success", "success").otherwise("error").alias("status"),
-            F.coalesce("rows_processed", F.lit(0).cast("bigint")).alias("rows_processed"),
-            execute["started_at"].cast("timestamp").alias("started_at"),
-            execute["completed_at"].cast("timestamp").alias("finished_at"),
-            F.round(F.coalesce("execution_time", F.lit(0.0)), 3)
-            .cast("decimal(10,3)")
-            .alias("duration_seconds"),
-            F.when(failed, message).alias("error_message"),
-            F.lit("sensor").alias("triggered_by"),
-            logged_at.alias("logged_at"),
-        )
+    # made before the join, which then carries no text or times that the log does not keep
+    audited = results.filter(F.col("unique_id").startswith("model.")).select(
+        model.alias("dbt_model"),
+        F.coalesce("invocation_id", F.lit("unknown")).alias("dbt_invocation_id"),
+        F.when(F.col("status") == "success", "success").otherwise("error").alias("status"),
+        execute["started_at"].cast("timestamp").alias("started_at"),
+        execute["completed_at"].cast("timestamp").alias("finished_at"),
+        F.round(F.coalesce("execution_time", F.lit(0.0)), 3).cast("decimal(10,3)").alias("duration_seconds"),
+        F.when(failed, message).alias("error_message"),
+    )
+    return audited.join(row_counts.withColumnRenamed("model", "dbt_model"), "dbt_model", "left").select(
+        table.alias("table_name"),
+        _layer(F.col("dbt_model")).alias("layer"),
+        "dbt_model",
+        "dbt_invocation_id",
+        F.lit(run_id).alias("run_id"),
+        "status",
+        F.coalesce("rows_processed", F.lit(0).cast("bigint")).alias("rows_processed"),
+        "started_at",
+        "finished_at",
+        "duration_seconds",
+        "error_message",
+        F.lit("sensor").alias("triggered_by"),
+        logged_at.alias("logged_at"),
     )
 
 
