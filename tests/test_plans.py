@@ -34,6 +34,20 @@ def test_deduplication_shrinks_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below_exchange and text.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("name", ["bronze_order_items", "silver_driver_shifts", "dedup_latest"])
+def test_a_feed_dealt_by_key_is_neither_sorted_nor_unrolled_before_its_only_shuffle(spark, name):
+    above, below = plan(QUERIES[name](spark, SF)).split("Exchange hashpartitioning")
+    assert "Generate explode" in above and "WindowGroupLimit" in above and "FileScan" not in above
+    assert not any(step in below for step in ("Generate", "Sort", "WindowGroupLimit"))
+
+
+@pytest.mark.parametrize("name", ["order_items", "users_mssql"])
+def test_a_feed_dealt_by_key_has_the_same_rows(spark, name):
+    plain, keyed = landing(spark, SF, name), landing(spark, SF, name, keyed=True)
+    assert keyed.dtypes == plain.dtypes
+    assert keyed.exceptAll(plain).count() == 0 and plain.exceptAll(keyed).count() == 0
+
+
 def test_delete_filter_stays_above_the_ranking(spark):
     feed = spark.read.schema("id string, op string, source_ts_ms long, kafka_offset long, v int")
     text = plan(resolve_cdc(feed.parquet(f"{SF}/events.parquet"), "upsert", "id"))

@@ -303,14 +303,22 @@ def _payload_sql(domain: str, dialect: str) -> list[tuple[str, str]]:
     return columns
 
 
-def landing(spark: SparkSession, sf_dir: str, domain: str, dealt: bool = False) -> DataFrame:
+def landing(
+    spark: SparkSession, sf_dir: str, domain: str, dealt: bool = False, keyed: bool = False
+) -> DataFrame:
     """Landing form of a domain's feed: upper-case columns, metadata struct.
 
-    With ``dealt`` source rows are first spread over all cores.
+    With ``dealt`` source rows are first spread over all cores.  With ``keyed`` they are dealt by
+    the key of the changed row, as a topic is, before changes are made of them: what groups the
+    feed by key then neither sorts the longer changes ahead of a shuffle nor shuffles them.
     """
     feed = FEEDS[domain]
     rows = table(spark, sf_dir, feed.table)
-    numbered = (spread(rows, rows.columns[0]) if dealt else rows).selectExpr(
+    if dealt:
+        rows = spread(rows, rows.columns[0])
+    if keyed:
+        rows = rows.withColumn("entity", F.expr(feed.entity)).repartition("entity")
+    numbered = rows.selectExpr(
         "*",
         f"CAST({feed.row} AS BIGINT) AS row_no",
         f"CAST({feed.position} AS BIGINT) AS sequence_no",
@@ -322,13 +330,19 @@ def landing(spark: SparkSession, sf_dir: str, domain: str, dealt: bool = False)
         "*", f"CAST({_VERSION} AS BIGINT) AS ver"
     )
     controlled = stepped.selectExpr("*", *[f"{e} AS {name}" for name, e in _CONTROL.items()])
-    return controlled.selectExpr(
-        *[f"{e} AS `{name.upper()}`" for name, e in _payload_sql(domain, "spark")],
+    (key, entity), *payload = _payload_sql(domain, "spark")
+    rest = [
+        *[f"{e} AS `{name.upper()}`" for name, e in payload],
         "CASE WHEN NOT dead THEN op END AS `__OP`",
         "CASE WHEN NOT dead THEN commit_ms END AS `__SOURCE_TS_MS`",
         "named_struct('offset', log_offset, 'partition', log_partition,"
         " 'CreateTime', arrived_ms) AS RECORD_METADATA",
-    )
+    ]
+    if not keyed:
+        return controlled.selectExpr(f"{entity} AS `{key.upper()}`", *rest)
+    # apart from tombstones the key is the column that rows are dealt by, which Spark can see
+    tombstones = controlled.filter("dead").selectExpr(f"CAST(NULL AS STRING) AS `{key.upper()}`", *rest)
+    return controlled.filter("NOT dead").selectExpr(f"entity AS `{key.upper()}`", *rest).unionAll(tombstones)
 
 
 def landing_sql(domain: str) -> str:

@@ -29,18 +29,19 @@ QUERIES = {}
 ORACLES = {}
 
 
-def history(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
+def history(spark: SparkSession, sf_dir: str, domain: str, keyed: bool = False) -> DataFrame:
     """Normalised change history of a domain."""
-    return b.normalise(landing(spark, sf_dir, domain), DOMAINS[domain])
+    return b.normalise(landing(spark, sf_dir, domain, keyed=keyed), DOMAINS[domain])
 
 
 def silver(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
     """Current state of a domain, resolved from its whole landing history."""
-    return r.silver(history(spark, sf_dir, domain), contract_for(f"silver_{domain}"))
+    contract = contract_for(f"silver_{domain}")
+    return r.silver(history(spark, sf_dir, domain, contract.cdc_strategy == "upsert"), contract)
 
 
 def bronze(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
-    return b.bronze(landing(spark, sf_dir, domain), DOMAINS[domain])
+    return b.bronze(landing(spark, sf_dir, domain, keyed=True), DOMAINS[domain])
 
 
 # A NULL date column reads back differently in the two engines' clients; it is text here.
@@ -303,7 +304,7 @@ SELECT * FROM h WHERE kafka_created_at >
   (SELECT coalesce(max(kafka_created_at), 0) FROM h WHERE kafka_created_at < {_SPLIT_MS})"""
 
 QUERIES["dedup_latest"] = lambda spark, sf: b.dedup_latest(
-    history(spark, sf, "order_items"), "order_item_id"
+    history(spark, sf, "order_items", keyed=True), "order_item_id"
 )
 ORACLES["dedup_latest"] = f"""
 WITH h AS ({history_sql('order_items')})
