@@ -95,3 +95,15 @@ def test_nothing_is_shown_before_both_clocks_have_passed(spark, work):
         read_changes(spark, f"{work}/runs", r, streaming=True), f"{work}/out", f"{work}/cp",
     ).awaitTermination()
     assert dt.datetime.fromtimestamp(T0) and spark.read.schema("messages long").parquet(f"{work}/out").count() == 0
+
+
+def test_silence_is_found_with_one_store_of_state(spark, work):
+    a = put(spark, work, "activity", [(1, T0), (1, T0 + 90_000)], "i int, ts long")
+    r = put(spark, work, "runs", [(1, T0 + 90_000)], "i int, ts long")
+    query = run_silent_pipeline(
+        read_changes(spark, f"{work}/activity", a, streaming=True),
+        read_changes(spark, f"{work}/runs", r, streaming=True), f"{work}/out", f"{work}/cp",
+    )
+    query.awaitTermination()
+    assert [o["numStateStoreInstances"] for o in query.lastProgress["stateOperators"]] == [4]  # one a task
+    assert [r["messages"] for r in spark.read.parquet(f"{work}/out").collect()] == [1]
