@@ -4,8 +4,9 @@ import json
 import random
 
 import pytest
+from support import plan
 from tidemark.operators.ranking import global_rank
-from tidemark.sources.artifacts import broken_run_results, read_run_results
+from tidemark.sources.artifacts import broken_run_results, read_run_results, run_documents
 from tidemark.sources.exports import select_files
 
 
@@ -59,3 +60,24 @@ def test_run_documents(spark, tmp_path):
     assert len(rows) == 2
     broken = {r["file"].split("/")[-2] for r in broken_run_results(spark, str(tmp_path)).collect()}
     assert broken == {"cut", "typed", "none"}
+
+
+def test_a_run_document_is_parsed_once(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"metadata": {"invocation_id": "i"}, "results": []}')
+    for rows in (read_run_results(spark, str(tmp_path)), broken_run_results(spark, str(tmp_path))):
+        assert plan(rows).lower().count("parsejson") == 1
+
+
+def test_results_and_broken_files_are_read_from_stored_documents(spark, tmp_path):
+    made, kept = tmp_path / "made", str(tmp_path / "kept")
+    made.mkdir()
+    (made / "good.json").write_text(
+        '{"metadata": {"invocation_id": "i"}, "results": [{"unique_id": "m", "execution_time": 2.5}]}')
+    (made / "cut.json").write_text('{"metadata": {"invocation_id": "j"}, "results": [')
+    run_documents(spark, str(made)).write.parquet(kept)
+    documents = spark.read.parquet(kept)
+    for given in (None, documents):
+        rows = read_run_results(spark, str(made), given).select("invocation_id", "unique_id", "execution_time")
+        assert [tuple(r) for r in rows.collect()] == [("i", "m", 2.5)]
+        assert [r["file"].split("/")[-1] for r in broken_run_results(spark, str(made), given).collect()] == ["cut.json"]
+    assert "Scan text" not in plan(read_run_results(spark, str(made), documents))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import identifier, ms_to_ntz
 from tidemark.operators.audit import processing_log
 from tidemark.operators.discovery import discover_columns, promote_columns, proposed_schema
-from tidemark.sources.artifacts import broken_run_results, read_run_results
+from tidemark.sources.artifacts import broken_run_results, read_run_results, run_documents
 from tidemark.sources.envelopes import EXTRA, land_domain, type_messages
 from tidemark.sources.exports import export_summary, load_exports
 from tidemark.sources.workdir import shared_dir
@@ -214,10 +214,16 @@ def artefact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     texts = runs.select("run", document.alias("value"))
     cut = F.when(F.col("run") % 5 == 2, F.expr("left(value, length(value) - 9)")).otherwise(F.col("value"))
-    texts.select("run", cut.alias("value")).repartition("run").write.partitionBy("run").text(work)
+    # each task puts its own files in place; one after the other in the driver takes long
+    texts.select("run", cut.alias("value")).repartition("run").write.partitionBy("run").option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2"
+    ).text(work)
+    read = shared_dir(spark, "artefacts-read")
+    run_documents(spark, work).write.parquet(read)
+    documents = spark.read.parquet(read)
     none = spark.createDataFrame([], "model string, rows_processed long")
-    logged = processing_log(read_run_results(spark, work), none, "r", F.lit(None).cast("timestamp"))
-    broken = broken_run_results(spark, work)
+    logged = processing_log(read_run_results(spark, work, documents), none, "r", F.lit(None).cast("timestamp"))
+    broken = broken_run_results(spark, work, documents)
     return logged.select(
         F.col("dbt_invocation_id").alias("run"), "dbt_model", "status",
         F.col("duration_seconds").cast("double").alias("seconds"), "error_message",
