@@ -244,3 +244,18 @@ def test_toxicity_learns_from_every_label(spark, monkeypatch):
     assert np.array_equal(one.table, again.table) and one.cut == again.cut
     got = {r.doc_id: r.score for r in toxicity.score(df, one).collect()}
     assert all((got[i] >= toxicity.THRESHOLD) == bool(t) for i, _, t in rows)
+
+
+def test_words_that_come_again_are_remembered(monkeypatch):
+    words = toxicity.Words()
+    texts = ["The cat, the DOG", "dog \u00c4hre x1", "cat \u00e4hre _y"]
+    ids = [words.look_up(text) for text in texts]
+    assert [i.tolist() for i in ids] == [[0, 1, 0, 2], [2, 3, 4], [1, 3, 5]]
+    kept, old = words.frequent()
+    assert list(kept.ids) == ["cat", "dog", "\u00e4hre"] and old.tolist() == [1, 2, 3]
+    assert kept.look_up("new dog").tolist() == [3, 1]
+    for word, k in kept.ids.items():
+        assert tuple(kept.rows[k]) == toxicity.buckets_of(word)
+    assert list(kept.frequent()[0].ids) == ["dog"]
+    monkeypatch.setattr(toxicity, "REMEMBERED", 4)
+    assert not words.frequent()[0].ids

@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from dataclasses import dataclass, field
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,15 @@ BUCKETS = 1 << 16
 STARTS = (3, 4, 5, 6, 7)
 ENDS = (4, 6)
 ROWS = 1 + len(STARTS) + len(ENDS)
+#: Of a word of so many letters, or more, the pieces that have a row.
+_CUTS = [
+    [
+        slice(None),
+        *(slice(n + 1) if size > n else None for n in STARTS),
+        *(slice(-n - 1, None) if size > n else None for n in ENDS),
+    ]
+    for size in range(max(*STARTS, *ENDS) + 2)
+]
 DIMS = 12
 FILTERS = 12
 WIDTHS = (1, 2, 3)
@@ -57,10 +68,12 @@ BATCH = 16
 THRESHOLD = 0.7
 #: Toxic documents that the common cut counts as, against a language's own, and 0 against it.
 COMMON = 15
-#: Words a task remembers before it forgets them all; no result depends on it.
+#: Words a task remembers before it forgets those of one text only; no result depends on it.
 REMEMBERED = 100_000
 
 WORD = re.compile(r"\w+")
+#: ASCII characters in lower case, all but those of words as blanks.
+_ASCII = {c: chr(c).lower() if WORD.match(chr(c)) else " " for c in range(128)}
 #: Frequent function words that tell the languages apart.
 FUNCTION_WORDS = {
     "en": "the of and is that for was with this are".split(),
@@ -72,19 +85,20 @@ LANGUAGES = [*FUNCTION_WORDS, "other"]
 _VOTES = {w: i for i, words in enumerate(FUNCTION_WORDS.values()) for w in words}
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text in lower case; most texts are ASCII, where no pattern is needed."""
+    if not text:
+        return []
+    return text.translate(_ASCII).split() if text.isascii() else WORD.findall(text.lower())
+
+
 def buckets_of(word: str) -> tuple[int, ...]:
     """The rows of a word; -1 is the table's zero row."""
-    crc32, whole, size = zlib.crc32, f"<{word}>", len(word)
+    crc32, whole, cuts = zlib.crc32, f"<{word}>", _CUTS[min(len(word), len(_CUTS) - 1)]
     if whole.isascii():  # bytes are characters
         data = whole.encode()
-        pieces = [data]
-        pieces += [data[: n + 1] if size > n else None for n in STARTS]
-        pieces += [data[-n - 1 :] if size > n else None for n in ENDS]
-    else:
-        pieces = [whole.encode()]
-        pieces += [whole[: n + 1].encode() if size > n else None for n in STARTS]
-        pieces += [whole[-n - 1 :].encode() if size > n else None for n in ENDS]
-    return tuple([-1 if p is None else crc32(p) % BUCKETS for p in pieces])
+        return tuple([-1 if cut is None else crc32(data[cut]) % BUCKETS for cut in cuts])
+    return tuple([-1 if cut is None else crc32(whole[cut].encode()) % BUCKETS for cut in cuts])
 
 
 @dataclass
@@ -165,25 +179,48 @@ class Model:
 
 
 class Words:
-    """Ids of words; for each the table rows and the language vote, in growing arrays."""
+    """Ids of words; for each the table rows, the language vote, and the first and the last
+    text that had it, in growing arrays."""
 
     def __init__(self):
-        self.ids: dict[str, int] = {}
+        self.ids: dict[str, int] = defaultdict(count().__next__)
         self.rows = np.empty((1024, ROWS), dtype=np.int32)
         self.votes = np.empty(1024, dtype=np.int8)
+        self.met = np.empty((2, 1024), dtype=np.int32)
+        self.texts = 0
+
+    def frequent(self) -> tuple[Words, np.ndarray]:
+        """Of these the words that came again in a later text, and their ids here.
+
+        No words, if these are more than half of ``REMEMBERED``, so that memory stays bounded.
+        """
+        old, found = np.flatnonzero(self.met[0, : len(self.ids)] < self.met[1, : len(self.ids)]), Words()
+        if len(old) > REMEMBERED // 2:
+            old = old[:0]
+        names = list(self.ids)
+        found.ids.update((names[k], found.ids.default_factory()) for k in old)
+        blank = max(1024 - len(old), 0)
+        found.rows = np.pad(self.rows[old], ((0, blank), (0, 0)))
+        found.votes = np.pad(self.votes[old], (0, blank))
+        found.met = np.zeros((2, len(found.rows)), dtype=np.int32)
+        return found, old
 
     def look_up(self, text: str | None) -> np.ndarray:
-        words = WORD.findall(text.lower()) if text else []
-        ids = self.ids
-        if new := set(words).difference(ids):  # nothing depends on which of them comes first
-            at, end = len(ids), len(ids) + len(new)
+        words = words_of(text)
+        ids, at = self.ids, len(self.ids)
+        found = np.fromiter(map(ids.__getitem__, words), dtype=np.int32, count=len(words))
+        self.texts += 1
+        if (end := len(ids)) > at:
             while end > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
                 self.votes = np.concatenate([self.votes, np.empty_like(self.votes)])
-            ids.update(zip(new, range(at, end)))
+                self.met = np.concatenate([self.met, np.empty_like(self.met)], axis=1)
+            new = [*islice(reversed(ids), end - at)][::-1]
             self.rows[at:end] = [buckets_of(word) for word in new]
             self.votes[at:end] = [_VOTES.get(word, len(FUNCTION_WORDS)) for word in new]
-        return np.fromiter(map(ids.__getitem__, words), dtype=np.int32, count=len(words))
+            self.met[0, at:end] = self.texts
+        self.met[1, found] = self.texts
+        return found
 
 
 def language_of(votes: np.ndarray) -> str:
@@ -381,7 +418,8 @@ def logits(docs: DataFrame, model: Model) -> DataFrame:
         def work(text):
             nonlocal words, vectors
             if len(words.ids) > REMEMBERED:
-                words = Words()
+                words, old = words.frequent()
+                vectors = np.pad(vectors[old], ((0, max(1024 - len(old), 0)), (0, 0)))
             before = len(words.ids)
             ids = words.look_up(text)
             now = len(words.ids)
