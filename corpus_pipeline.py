@@ -58,8 +58,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     NULL and empty texts have no tokens.
     """
-    ranks = bpe.rank_file(RANKS)
-    tokens = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    tokens = bpe.round_trip(docs, bpe.rank_file(RANKS), public_tokenizers.PATTERN)
     return tokens.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

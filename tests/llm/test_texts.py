@@ -12,8 +12,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.conftest import ODD_TEXTS, SF_SMALL
+from tests.support import plan
 from tidemark.llm import bpe, pii, quality_rules
-from tidemark.llm.queries import QUERIES, RANKS
+from tidemark.llm.queries import QUERIES, RANKS, token_digests
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -194,6 +195,15 @@ def test_odd_tables(odd, find):
     assert find(odd.limit(0)).count() == 0
 
 
+def test_bpe_passes_a_text_through_python_once(odd):
+    """Two passes in a row keep two Python workers with a vocabulary each for every task."""
+    ranks = bpe.rank_file(RANKS)
+    found = bpe.round_trip(odd, ranks, public_tokenizers.PATTERN)
+    assert plan(token_digests(odd)).count("MapInArrow") == plan(found).count("MapInArrow") == 1
+    want = bpe.decode(bpe.encode(odd, ranks, public_tokenizers.PATTERN), ranks)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, want.select(*found.columns).collect()))
+
+
 def test_bpe_odd_table(odd):
     ranks = bpe.rank_file(RANKS)
     run = lambda d: bpe.decode(bpe.encode(d, ranks, public_tokenizers.PATTERN), ranks)

@@ -253,6 +253,26 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     return map_documents(docs.select("doc_id", "text"), make, "ids array<int>")
 
 
+def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded binary``, what the ids decode to, of each row of ``docs``.
+
+    The same as ``decode(encode(...))``, in one pass: a task keeps one Python worker with one
+    vocabulary, where two passes in a row keep two of each alive.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
+
+    def make():
+        encoder = _once(Encoder, *shared.value)
+
+        def work(texts: pa.Array):
+            ids = encoder.encode(texts.to_pylist())
+            return ids, decode_lists(encoder.vocabulary, ids)
+
+        return work
+
+    return map_documents(docs.select("doc_id", "text"), make, "ids array<int>, decoded binary")
+
+
 def decode(tokens: DataFrame, ranks: bytes) -> DataFrame:
     """``tokens`` (its last column ``ids``) with ``decoded binary`` in addition."""
     shared = tokens.sparkSession.sparkContext.broadcast(ranks)
