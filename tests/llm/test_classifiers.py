@@ -121,6 +121,23 @@ def test_compiled_rules_equal_the_model(spark):
     assert np.allclose([r.score for r in rows], 1 / (1 + np.exp(-logit)))
 
 
+def test_as_many_rules_as_trees_can_give(spark):
+    """A model of all rules that the trees may have is planned, and scores like its rules."""
+    rng = np.random.default_rng(4)
+    size = quality_classifier.TREES * (2 ** (quality_classifier.DEPTH + 1) - 2)
+    own = rng.integers(0, len(quality_classifier.STATISTICS), (size, quality_classifier.DEPTH))
+    rules = [tuple((int(s), bool(rng.integers(2)), float(rng.random() * 3)) for s in part) for part in own]
+    model = quality_classifier.Model(rules, rng.normal(0, 0.1, size).tolist(), 0.3)
+    docs = spark.createDataFrame(
+        [(i, " ".join(rng.choice(["a", "Bc", "d,e", "12 x", "|", "é!"], 20 + i))) for i in range(20)],
+        "doc_id long, text string",
+    )
+    rows = quality_classifier.score(docs, model).collect()
+    x = np.array([[r[s] for s in quality_classifier.STATISTICS] for r in rows])
+    logit = model.bias + sum(w * quality_classifier.holds(r, x) for r, w in zip(model.rules, model.weights))
+    assert len(rows) == 20 and np.allclose([r.score for r in rows], 1 / (1 + np.exp(-logit)))
+
+
 def test_without_labels(spark, odd):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     one = spark.createDataFrame([(5, 1, 1), (None, 0, None), (77, None, 0)], labels.schema)

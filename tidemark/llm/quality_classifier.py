@@ -104,13 +104,15 @@ class Model:
 
     def score(self) -> Column:
         """The probability of label 1, as an expression over the statistics' columns."""
-        logit = F.lit(self.bias)
+        steps = []
         for rule, weight in zip(self.rules, self.weights):
             holds = F.lit(True)
             for statistic, above, cut in rule:
                 column = F.col(STATISTICS[statistic])
                 holds = holds & (column > cut if above else column <= cut)
-            logit = logit + F.when(holds, F.lit(weight)).otherwise(F.lit(0.0))
+            steps.append(F.when(holds, F.lit(weight)).otherwise(F.lit(0.0)))
+        # added up in their order by one fold: a chain of some hundred sums overflows the driver's stack
+        logit = F.aggregate(F.array(*steps).cast("array<double>"), F.lit(self.bias), lambda total, step: total + step)
         return 1 / (1 + F.exp(-logit))
 
 
